@@ -50,7 +50,15 @@ def pages(spark, folder):
 
 
 def train_test(spark, folder):
-    return splits.train_validation(R.clean_reviews(spark, folder))
+    """Cleaned reviews, prepared once and stored by split, as every later pass reads them."""
+    docs = R.clean_reviews(spark, folder)
+    split = F.when(splits.is_validation(F.col("doc_id")), "test").otherwise("train")
+    path = new_folder(spark, "prepared")
+    stages.write_prepared(docs.withColumn("split", split), path)
+    return (
+        stages.read_prepared(spark, path, "train").drop("split"),
+        stages.read_prepared(spark, path, "test").drop("split"),
+    )
 
 
 def rounded(df: DataFrame, places: int = 6, **exceptions: int) -> DataFrame:
@@ -192,8 +200,7 @@ def reduce_phase_pairs(spark, folder):
 
 
 def df_bounds(spark, folder):
-    docs = clean_documents(spark, folder)
-    return wordstats.with_count_bounds(wordstats.word_counts(docs), docs, DEFAULTS)
+    return wordstats.bounded_counts(clean_documents(spark, folder))[0]
 
 
 def vocabulary_topk(spark, folder):

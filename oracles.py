@@ -6,10 +6,13 @@ windows): this is the check, run on small tables, not the way the engine works.
 
 from __future__ import annotations
 
-from wordloom.functions.cleaning import WIDE_SPACE
 from wordloom.functions.words import STOPWORDS
 
 SPACE = r"[\s\x0B]"
+WIDE_SPACE = (
+    r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
 STOP = ", ".join(f"'{word}'" for word in STOPWORDS)
 
 

@@ -5,12 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: the characters the light clean counts as white space
-# (the regex engine's own \s plus the Unicode separators).
-WIDE_SPACE = (
-    r"[\s\x0B\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
+# What the light clean counts as white space: Unicode white space and the separators 1C to 1F.
+WIDE_SPACE = r"[\s\x1C-\x1F]"
 
 
 def trim_spaces(text: Column) -> Column:
@@ -18,7 +14,7 @@ def trim_spaces(text: Column) -> Column:
 
 
 def breaks_to_spaces(text: Column) -> Column:
-    return F.regexp_replace(text, r"<br\s*/?>", " ")
+    return _where_tagged(text, lambda tagged: F.regexp_replace(tagged, r"<br\s*/?>", " "))
 
 
 def punctuation_to_spaces(text: Column, unicode: bool = False) -> Column:
@@ -30,7 +26,7 @@ def collapse_spaces(text: Column, unicode: bool = False) -> Column:
 
 
 def strip_tags(text: Column) -> Column:
-    return F.regexp_replace(text, "<[^>]+>", "")
+    return _where_tagged(text, lambda tagged: F.regexp_replace(tagged, "<[^>]+>", ""))
 
 
 def classic_clean(text: Column, unicode: bool = False) -> Column:
@@ -44,16 +40,21 @@ def classic_clean(text: Column, unicode: bool = False) -> Column:
 
 def classic_clean_sql(text: str, unicode: bool = False) -> str:
     """The same expression as SQL text, for pipeline stages that are stored as SQL."""
-    return (
-        f"trim(regexp_replace(regexp_replace({text}, r'<br\\s*/?>', ' '), "
-        f"r'{_flag(unicode)}\\W+', ' '))"
+    without_breaks = (
+        f"if(contains({text}, '<'), regexp_replace({text}, r'<br\\s*/?>', ' '), {text})"
     )
+    return f"trim(regexp_replace({without_breaks}, r'{_flag(unicode)}\\W+', ' '))"
 
 
 def light_clean(text: Column) -> Column:
     """Tags out, white space collapsed; case and punctuation are kept. Null becomes ''."""
-    spaced = F.regexp_replace(F.coalesce(text, F.lit("")), f"<br{WIDE_SPACE}*/?>", " ")
-    return F.trim(F.regexp_replace(strip_tags(spaced), f"{WIDE_SPACE}+", " "))
+
+    def without_tags(tagged: Column) -> Column:
+        spaced = F.regexp_replace(tagged, f"(?U)<br{WIDE_SPACE}*/?>", " ")
+        return F.regexp_replace(spaced, "<[^>]+>", "")
+
+    plain = _where_tagged(F.coalesce(text, F.lit("")), without_tags)
+    return F.trim(F.regexp_replace(plain, f"(?U){WIDE_SPACE}+", " "))
 
 
 def with_clean_text(df: DataFrame, clean=classic_clean, text: str = "text") -> DataFrame:
@@ -72,8 +73,12 @@ def with_clean_text(df: DataFrame, clean=classic_clean, text: str = "text") -> D
 
 def input_status(text: Column) -> Column:
     """'ok', or 'empty' where nothing but white space was given."""
-    blank = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{WIDE_SPACE}+", "") == ""
-    return F.when(blank, "empty").otherwise("ok")
+    return F.when(text.rlike(r"(?U)[^\s\x1C-\x1F]"), "ok").otherwise("empty")
+
+
+def _where_tagged(text: Column, change) -> Column:
+    """Most texts hold no tag at all; a byte search spares those the regex."""
+    return F.when(F.contains(text, F.lit("<")), change(text)).otherwise(text)
 
 
 def _flag(unicode: bool) -> str:

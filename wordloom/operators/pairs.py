@@ -62,6 +62,24 @@ def term_counts(docs: DataFrame, *keys: str) -> DataFrame:
     return starts.select(*keys, F.inline_outer(runs))
 
 
+# Cleaned text has no empty words, so the empty word can stand for the text itself.
+WHOLE_TEXT = ""
+
+
+def marked_words(docs: DataFrame) -> DataFrame:
+    """(word, first): every word of each cleaned text, `first` 1 once per text and word.
+
+    Summing `first` per word gives document frequencies in the pass that counts the words; the
+    word WHOLE_TEXT, added once to each text, counts the texts. Sorted words put equal ones
+    side by side, so this is a comparison with the neighbour, in generated code.
+    """
+    words = F.array_append(W.split_clean_words(F.col("text")), WHOLE_TEXT)
+    sorted_words = docs.select(F.sort_array(words).alias("_words"))
+    placed = sorted_words.select("_words", F.posexplode_outer("_words").alias("pos", "word"))
+    new = (F.col("pos") == 0) | (F.get("_words", F.col("pos") - 1) != F.col("word"))
+    return placed.select("word", new.cast("bigint").alias("first"))
+
+
 def kept_term_counts(docs: DataFrame, options: Options = Options(), *keys: str) -> DataFrame:
     return term_counts(docs, *keys).filter(W.keeps_word(F.col("word"), options))
 

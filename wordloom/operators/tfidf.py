@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordloom.operators.pairs import kept_term_counts
-from wordloom.operators.wordstats import doc_total, vocabulary
+from wordloom.operators.wordstats import bounded_counts, top_words
 from wordloom.options import Options
 
 
@@ -17,10 +17,10 @@ def feature_vocabulary(docs: DataFrame, options: Options = Options()) -> DataFra
     Every word is at most `max_word_length` long, which bounds the bytes of this table too.
     """
     order = [F.desc("total_count"), F.asc("word")]
-    top = vocabulary(docs, options).orderBy(*order).limit(options.max_features)
+    bounded, total = bounded_counts(docs, options)
+    top = top_words(bounded, options).orderBy(*order).limit(options.max_features)
     # limit() has left one small partition; numbering it adds no data movement.
     index = (F.row_number().over(Window.orderBy(*order)) - 1).alias("index")
-    total = doc_total(docs).scalar()
     idf = F.log((total + 1) / (F.col("doc_freq") + 1))
     return top.select(index, "word", "doc_freq", idf.alias("idf"))
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.operators.pairs import kept_term_counts
+from wordloom.functions.words import keeps_word
+from wordloom.operators.pairs import WHOLE_TEXT, marked_words
 from wordloom.options import Options
+from wordloom.session import cut
 
 
 def word_counts(docs: DataFrame, options: Options = Options()) -> DataFrame:
@@ -14,13 +16,15 @@ def word_counts(docs: DataFrame, options: Options = Options()) -> DataFrame:
 
     Map-side partial sums collapse a frequent word to one row per task before the shuffle.
     """
-    return _per_word(kept_term_counts(docs, options))
+    return _with_texts(docs, options).filter(F.col("word") != WHOLE_TEXT)
 
 
 def reduce_counts(pairs: DataFrame, doc: str = "doc_id") -> DataFrame:
     """The same from (doc_id, word, count) rows, for pairs that did not come from one row."""
     per_doc = pairs.groupBy(doc, "word").agg(F.sum("count").cast("bigint").alias("tf"))
-    return _per_word(per_doc)
+    return per_doc.groupBy("word").agg(
+        F.sum("tf").alias("total_count"), F.count("*").alias("doc_freq")
+    )
 
 
 def total_counts(pairs: DataFrame) -> DataFrame:
@@ -36,15 +40,36 @@ def doc_total(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("total_docs"))
 
 
-def with_count_bounds(counts: DataFrame, docs: DataFrame, options: Options) -> DataFrame:
+def with_count_bounds(counts: DataFrame, total_docs: Column, options: Options) -> DataFrame:
     """Keep words in at least max(min_df, 1%) and at most the given share of the texts."""
-    total = doc_total(docs).scalar()
-    return counts.filter(_frequent_enough(total, options) & _not_everywhere(total, options))
+    least = F.greatest(
+        F.lit(options.min_document_frequency).cast("bigint"), F.floor(total_docs * F.lit(0.01))
+    )
+    most = F.floor(total_docs * F.lit(float(options.max_document_frequency)))
+    return counts.filter(F.col("doc_freq").between(least, most))
+
+
+def stored_counts(docs: DataFrame, options: Options = Options()) -> tuple[DataFrame, Column]:
+    """`word_counts`, computed and stored, and the number of texts as a scalar column.
+
+    The bounds need the number of texts before any word can be dropped. Counting texts along
+    with the words and storing the word table reads the corpus once; asking for the number in
+    a job of its own would read and clean it a second time.
+    """
+    table = cut(_with_texts(docs, options))
+    total = table.filter(F.col("word") == WHOLE_TEXT).select("doc_freq")
+    # An empty corpus has no such row.
+    return table.filter(F.col("word") != WHOLE_TEXT), F.coalesce(total.scalar(), F.lit(0))
+
+
+def bounded_counts(docs: DataFrame, options: Options = Options()) -> tuple[DataFrame, Column]:
+    counts, total = stored_counts(docs, options)
+    return with_count_bounds(counts, total, options), total
 
 
 def vocabulary(docs: DataFrame, options: Options = Options()) -> DataFrame:
     """The `max_vocab_size` most frequent words within the bounds; ties go by word."""
-    return top_words(with_count_bounds(word_counts(docs, options), docs, options), options)
+    return top_words(bounded_counts(docs, options)[0], options)
 
 
 def top_words(counts: DataFrame, options: Options = Options()) -> DataFrame:
@@ -88,18 +113,8 @@ def length_statistics(docs: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def _per_word(terms: DataFrame) -> DataFrame:
-    return terms.groupBy("word").agg(
-        F.sum("tf").alias("total_count"), F.count("*").alias("doc_freq")
+def _with_texts(docs: DataFrame, options: Options) -> DataFrame:
+    kept = keeps_word(F.col("word"), options) | (F.col("word") == WHOLE_TEXT)
+    return marked_words(docs).filter(kept).groupBy("word").agg(
+        F.count("*").alias("total_count"), F.sum("first").alias("doc_freq")
     )
-
-
-def _frequent_enough(total: Column, options: Options) -> Column:
-    one_percent = F.floor(total * F.lit(0.01))
-    return F.col("doc_freq") >= F.greatest(
-        F.lit(options.min_document_frequency).cast("bigint"), one_percent
-    )
-
-
-def _not_everywhere(total: Column, options: Options) -> Column:
-    return F.col("doc_freq") <= F.floor(total * F.lit(float(options.max_document_frequency)))
