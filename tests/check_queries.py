@@ -1,13 +1,16 @@
-"""Run registered queries beside their SQL and report differences: check_queries.py [sf] [names]."""
+"""Run registered queries beside their SQL: python tests/check_queries.py [sf] [names]."""
 
 from __future__ import annotations
 
 import sys
 import time
+from pathlib import Path
 
 import duckdb
 from pyspark.sql import SparkSession
 
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
 import __spark_entry__ as registry
 
 TABLES = (

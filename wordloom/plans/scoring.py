@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.functions import predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 from wordloom.functions.cleaning import input_status
 from wordloom.sources.reviews import literal_text, read_csv
@@ -83,7 +84,7 @@ def sequence_logits(make_predict, length: int, batch_size: int = 256):
     """
     return predict_batch_udf(
         make_predict,
-        return_type="array<double>",
+        return_type=ArrayType(DoubleType()),
         batch_size=batch_size,
         input_tensor_shapes=[[length], [length]],
     )
