@@ -114,10 +114,9 @@ def input_status(spark, folder):
 
 def csv_reviews(spark, folder):
     path = new_folder(spark, "csv")
-    R.reviews(spark, folder).select("text", "label").write.option("header", True).option(
-        "escape", '"'
-    ).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return R.load_reviews(spark, path, "train").drop("doc_id")
+    sinks.write_table(R.reviews(spark, folder).select("text", "label"), path)
+    table = R.load_reviews(spark, path, "train").drop("doc_id")
+    return table.withColumn("split", F.col("split").cast("string"))
 
 
 def prepared_by_split(spark, folder):
@@ -255,6 +254,12 @@ def idf(spark, folder):
     return rounded(tfidf.feature_vocabulary(clean_documents(spark, folder)))
 
 
+def tfidf_unsupervised_vocabulary(spark, folder):
+    """Words and weights from all texts, labelled or not; vectors for the labelled ones."""
+    vocab = tfidf.feature_vocabulary(clean_documents(spark, folder))
+    return rounded(tfidf.tfidf(R.clean_reviews(spark, folder), vocab))
+
+
 def tfidf_table(spark, folder):
     docs = R.clean_reviews(spark, folder)
     return rounded(tfidf.tfidf(docs, tfidf.feature_vocabulary(docs)))
@@ -296,9 +301,19 @@ def nb_likelihoods(spark, folder):
     return rounded(fitted_tables(train)[1].drop("idf"))
 
 
-def document_scores(spark, folder):
+def document_scores(spark, folder, options=DEFAULTS):
+    train, _ = train_test(spark, folder)
+    return bayes.score(clean_documents(spark, folder), *fitted_tables(train, options))
+
+
+def nb_bow_scores(spark, folder):
+    return rounded(document_scores(spark, folder, Options(use_tfidf=False)).drop("margin"))
+
+
+def nb_tfidf_scores(spark, folder):
     train, _ = train_test(spark, folder)
-    return bayes.score(clean_documents(spark, folder), *fitted_tables(train))
+    model = pipeline.fit_classifier(train, "naive_bayes", Options(use_bow=False))
+    return rounded(scoring.score_table(model, raw_documents(spark, folder), "doc_id"))
 
 
 def nb_scores(spark, folder):
@@ -437,6 +452,45 @@ def batch_udf_scores(spark, folder):
     return rounded(scored)
 
 
+def sequence_udf_scores(spark, folder):
+    """An outside model over fixed-length ids: a sum of one weight per id, ids being places in
+    the feature vocabulary, which bounds the weights that travel to the workers."""
+    train, _ = train_test(spark, folder)
+    options = Options(use_tfidf=False)
+    model = pipeline.fit_classifier(train, "naive_bayes", options)
+    fitted, words = model.stages[-1], model.stages[1].vocabulary
+    first = len(sequences.RESERVED)
+    weights = np.zeros((first + len(words), 2))
+    weights[first:] = fitted.theta.toArray().T
+    bias = fitted.pi.toArray()
+    vocab = spark.createDataFrame(
+        [(word, i + first, 0) for i, word in enumerate(words)],
+        "word string, word_id int, total_count bigint",
+    )
+    encoded = sequences.id_sequences(clean_documents(spark, folder), vocab, options)
+
+    def make_predict():
+        def predict(ids, mask):
+            return (weights[ids.astype(int)] * mask[:, :, None]).sum(axis=1) + bias
+
+        return predict
+
+    call = scoring.sequence_logits(make_predict, options.sequence_length)
+    logits = call("input_ids", "attention_mask").alias("logits")
+    return rounded(scoring.with_softmax(encoded.select("doc_id", logits), "logits"))
+
+
+def evaluate_saved_model(spark, folder):
+    train, _ = train_test(spark, folder)
+    model_path, test_path = new_folder(spark, "model"), new_folder(spark, "test")
+    pipeline.save_model(pipeline.fit_classifier(train), model_path)
+    held_out = R.reviews(spark, folder).filter(splits.is_validation(F.col("doc_id")))
+    sinks.write_table(held_out.select("text", "label"), test_path)
+    wanted = ("accuracy", "precision", "recall", "f1", "log_loss")
+    values = evaluation.evaluate_saved(spark, model_path, test_path, wanted)
+    return rounded(spark.createDataFrame(list(values.items()), "metric string, value double"))
+
+
 def stream_scores(spark, folder):
     model = fitted_pipeline(spark, folder)
     # The folder holds many tables; the stream takes the files of one.
@@ -469,7 +523,8 @@ QUERIES = {
         nb_priors, nb_likelihoods, nb_scores, sentiment_labels, confusion, confusion_wide,
         metrics_accuracy_prf, auc_rank, log_loss, nb_pipeline_scores, lr_scores, rf_scores,
         saved_model_scores, predictions_csv, evaluate_pipeline, best_step, cv_naive_bayes,
-        compare_models, batch_udf_scores, stream_scores,
+        compare_models, batch_udf_scores, sequence_udf_scores, stream_scores,
+        nb_bow_scores, nb_tfidf_scores, tfidf_unsupervised_vocabulary, evaluate_saved_model,
     )
 }
 QUERIES["tfidf"] = tfidf_table

@@ -117,12 +117,16 @@ ids AS (
 )""")
 
 
-def bayes(fits: str, smoothing: str, scored: str) -> tuple[str, ...]:
+def bayes(
+    fits: str, smoothing: str, scored: str, blocks: tuple[str, ...] = ("bow", "tfidf")
+) -> tuple[str, ...]:
     """Naive Bayes over counts and TF-IDF, for several training sets and smoothings at once.
 
     `fits`: rows (fit, doc_id, label) to train on; `scored`: rows (fit, doc_id) to score;
-    `smoothing`: a VALUES list of (step, smoothing).
+    `smoothing`: a VALUES list of (step, smoothing); `blocks`: the features that are used.
     """
+    mass = " + ".join(f"sum({block})" for block in blocks)
+    weight = " + ".join({"bow": "theta_bow", "tfidf": "idf * theta_tfidf"}[b] for b in blocks)
     return (
         DOC_WORDS,
         f"""
@@ -163,7 +167,7 @@ grid AS (
   LEFT JOIN class_words w ON w.fit = v.fit AND w.label = c.label AND w.word = v.word
 ),
 mass AS (
-  SELECT fit, label, sum(bow) + sum(tfidf) AS total, 2 * count(*) AS n_features
+  SELECT fit, label, {mass} AS total, {len(blocks)} * count(*) AS n_features
   FROM grid GROUP BY ALL
 ),
 theta AS (
@@ -174,7 +178,7 @@ theta AS (
 ),
 weights AS (
   SELECT step, fit, word,
-         sum(CASE WHEN label = 1 THEN 1 ELSE -1 END * (theta_bow + idf * theta_tfidf)) AS weight
+         sum(CASE WHEN label = 1 THEN 1 ELSE -1 END * ({weight})) AS weight
   FROM theta GROUP BY ALL
 ),
 bias AS (
@@ -483,6 +487,33 @@ GROUP BY lam""",
 }
 for name in ("nb_pipeline_scores", "saved_model_scores", "batch_udf_scores", "stream_scores"):
     ORACLES[name] = query(f"SELECT doc_id, {SCORE_COLUMNS} FROM scores", *DOCUMENT_BAYES)
+for block in ("bow", "tfidf"):
+    ORACLES[f"nb_{block}_scores"] = query(
+        f"SELECT doc_id, {SCORE_COLUMNS} FROM scores", *bayes(TRAIN, ONE, ALL_DOCS, (block,))
+    )
+ORACLES["tfidf_unsupervised_vocabulary"] = query(
+    """SELECT w.doc_id, w.word, CAST(count(*) AS BIGINT) AS tf, round(v.idf, 6) AS idf,
+  round(count(*) * v.idf, 6) AS tfidf
+FROM words w JOIN doc_vocab v ON w.word = v.word GROUP BY w.doc_id, w.word, v.idf""",
+    WORDS, DOC_WORDS, DOC_COUNTS, DOC_BOUNDS, DOC_VOCAB,
+)
+ORACLES["sequence_udf_scores"] = query(
+    f"""SELECT doc_id, {SCORE_COLUMNS} FROM (
+  SELECT doc_id, CASE WHEN m > 0 THEN 1 ELSE 0 END AS prediction,
+         1 / (1 + exp(m)) AS probability_negative, 1 / (1 + exp(-m)) AS probability_positive
+  FROM (
+    SELECT d.doc_id, (SELECT bias FROM bias) + coalesce(sum(w.weight), 0) AS m
+    FROM clean_documents d
+    LEFT JOIN doc_words x ON x.doc_id = d.doc_id AND x.pos < 256
+    LEFT JOIN weights w ON w.word = x.word
+    GROUP BY d.doc_id))""",
+    *bayes(TRAIN, ONE, ALL_DOCS, ("bow",)),
+)
+ORACLES["evaluate_saved_model"] = query(
+    """SELECT metric, round(value, 6) AS value FROM weighted
+UNION ALL SELECT metric, round(value, 6) FROM loss""",
+    *HELD_OUT_BAYES, CONFUSION, WEIGHTED, LOSS,
+)
 ORACLES["predictions_csv"] = query(
     f"SELECT d.doc_id, d.text, {SCORE_COLUMNS} FROM scores s JOIN documents d ON s.doc_id = d.doc_id",
     *DOCUMENT_BAYES,

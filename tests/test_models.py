@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 
 from wordloom import Options
 from wordloom.operators import sequences, splits
-from wordloom.plans import evaluation, pipeline, scoring, tuning
+from wordloom.plans import evaluation, pipeline, scoring, training, tuning
 from wordloom.plans.runlog import RunLog
-from wordloom.sources.reviews import literal_text, read_csv
+from wordloom.sources import sinks, stages
+from wordloom.sources.reviews import labelled, read_csv
 from wordloom.streaming.scoring import arriving_texts, scored_stream, start_scoring
 
 SMALL = Options(max_features=200)
 
 
-def test_classifier_by_name():
+def test_classifier_by_name(spark):
     assert pipeline.create_classifier().getSmoothing() == 1.0
     regression = pipeline.create_classifier("logistic_regression")
     assert (regression.getMaxIter(), regression.getRegParam()) == (100, 0.01)
@@ -30,11 +31,11 @@ def test_classifier_by_name():
 @pytest.mark.parametrize(
     ("name", "size"), [("naive_bayes", 3), ("logistic_regression", 9), ("random_forest", 9)]
 )
-def test_grid_sizes(name, size):
+def test_grid_sizes(spark, name, size):
     assert len(tuning.param_grid(pipeline.create_classifier(name), name)) == size
 
 
-def test_unknown_classifier_has_an_empty_grid():
+def test_unknown_classifier_has_an_empty_grid(spark):
     assert tuning.param_grid(pipeline.create_classifier("naive_bayes"), "other") == [{}]
 
 
@@ -115,7 +116,7 @@ def test_saved_model_is_measured_on_a_raw_file(spark, nb_model, train, folder, t
 def test_training_run_writes_its_rows(spark, train, tmp_path):
     log = RunLog(spark, str(tmp_path))
     a, b = splits.train_validation(train)
-    evaluation.train_and_log(a, b, log, "run", options=SMALL)
+    training.train(a, b, log, "run", options=SMALL)
     params = {r.key: r.value for r in log.table("run_params").collect()}
     assert params == {
         "algorithm": "naive_bayes",
@@ -125,6 +126,51 @@ def test_training_run_writes_its_rows(spark, train, tmp_path):
     assert log.table("run_metrics").count() == 5
 
 
+def test_training_from_files(spark, train, folder, tmp_path):
+    raw = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    reviews = raw.join(train.select("doc_id", "label"), "doc_id")
+    first, second = splits.train_validation(reviews)
+    files = {
+        "train": first.select("text", "label"),
+        "test": second.select("text", "label"),
+        "more": raw.join(train, "doc_id", "left_anti").select(
+            "text", F.lit(None).cast("int").alias("label")
+        ),
+    }
+    for name, table in files.items():
+        sinks.write_table(table, str(tmp_path / name))
+    paths = [str(tmp_path / name) for name in files]
+    options = Options(max_features=300, cv_folds=2)
+    model = training.train_from_files(
+        spark, str(tmp_path / "job"), "nb", *paths, options=options, tune=False
+    )
+    log = RunLog(spark, str(tmp_path / "job" / "runs"))
+    artifact = log.table("run_artifacts").first()
+    assert artifact.path == f"{tmp_path}/job/models/nb"
+    loaded = pipeline.load_model(spark, artifact.path)
+    assert loaded.stages[1].vocabulary == model.stages[1].vocabulary
+    prepared = stages.read_prepared(spark, f"{tmp_path}/job/prepared")
+    assert prepared.select("doc_id").distinct().count() == prepared.count()
+    # Unlabelled texts take part in choosing the words.
+    alone = pipeline.fit_vocabulary(labelled(stages.read_prepared(
+        spark, f"{tmp_path}/job/prepared", "train")), options)
+    assert list(alone.words) != model.stages[1].vocabulary
+
+    training.train_from_files(
+        spark, str(tmp_path / "job"), "tuned", *paths[:2], options=options, tune=True
+    )
+    params = {r.key: r.value for r in log.table("run_params").filter("run_id = 'tuned'").collect()}
+    assert params["cv_folds"] == "2" and "best_smoothing" in params
+    keys = {r.key for r in log.table("run_metrics").filter("run_id = 'tuned'").collect()}
+    assert {"auc", "accuracy smoothing=1.0"} <= keys
+
+
+def test_description(train):
+    summary, stats = training.describe(train)
+    assert summary.filter("is_total = 1").first().n == train.count()
+    assert stats.first().vocabulary_size > 0
+
+
 def test_cross_validation(train):
     options = Options(max_features=200, cv_folds=3)
     tuned = tuning.cross_validate(train, "naive_bayes", options)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.words import split_clean_words
@@ -28,12 +28,22 @@ def id_vocabulary(docs: DataFrame, min_freq: int = 2) -> DataFrame:
         F.count("*").alias("total_count")
     )
     ranked = with_rank(counts.filter(F.col("total_count") >= min_freq), "word")
-    reserved = docs.sparkSession.createDataFrame(
-        [(word, number, 0) for word, number in RESERVED.items()],
-        "word string, word_id int, total_count bigint",
-    )
     number = (F.col("rank") + len(RESERVED)).cast("int").alias("word_id")
-    return reserved.unionByName(ranked.select("word", number, "total_count"))
+    return reserved_words(docs.sparkSession).unionByName(
+        ranked.select("word", number, "total_count")
+    )
+
+
+def reserved_words(spark: SparkSession) -> DataFrame:
+    entries = [
+        F.struct(
+            F.lit(word).alias("word"),
+            F.lit(number).alias("word_id"),
+            F.lit(0).cast("bigint").alias("total_count"),
+        )
+        for word, number in RESERVED.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def with_word_ids(words: DataFrame, vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES):

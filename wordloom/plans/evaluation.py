@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from wordloom.functions.cleaning import with_clean_text
 from wordloom.operators.metrics import confusion, log_loss, weighted_scores
 from wordloom.options import Options
-from wordloom.plans.pipeline import fit_classifier, load_model
+from wordloom.plans.pipeline import load_model
 from wordloom.plans.runlog import RunLog
-from wordloom.sources.reviews import labelled, read_csv, typed_reviews
 from wordloom.session import cut
+from wordloom.sources.reviews import labelled, read_csv, typed_reviews
 
 
 def predictions(model: PipelineModel, docs: DataFrame, *keys: str) -> DataFrame:
@@ -74,26 +74,3 @@ def evaluate_saved(
     """Load a saved pipeline and measure it on a delimited test file."""
     test = labelled(with_clean_text(typed_reviews(read_csv(spark, test_path))))
     return evaluate(load_model(spark, model_path), test, metrics)
-
-
-def train_and_log(
-    train: DataFrame,
-    test: DataFrame,
-    log: RunLog,
-    run_id: str,
-    algorithm: str | None = None,
-    options: Options = Options(),
-) -> PipelineModel:
-    """Fit on cleaned reviews, measure on others, and write the run's rows."""
-    name = algorithm or options.algorithm
-    model = fit_classifier(train, name, options)
-    log.log_params(
-        run_id,
-        {
-            "algorithm": name,
-            "train_samples": train.count(),
-            "features_used": options.feature_info,
-        },
-    )
-    evaluate(model, test, options.metrics, log, run_id)
-    return model

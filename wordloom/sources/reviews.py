@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.cleaning import classic_clean, with_clean_text
 from wordloom.session import new_folder, spread
+from wordloom.sources.stages import write_prepared
 
 RAW_COLUMNS = ("text", "label")
 
@@ -46,20 +49,29 @@ def labelled(df: DataFrame) -> DataFrame:
     return df.filter(F.col("label").isNotNull())
 
 
-def load_reviews(
-    spark: SparkSession, path: str, split: str, clean=classic_clean, header: bool = True
+def load_splits(
+    spark: SparkSession, folder: str, clean=classic_clean, header: bool = True, **paths: str
 ) -> DataFrame:
-    """One split of a delimited review file, typed and cleaned, as (doc_id, text, label, split).
+    """Delimited files, one per split, as one stored table (doc_id, text, label, split).
 
-    The file has no ids, so they are given once and stored: the typed rows go to the shared
-    folder, and everything after reads that table, which also splits where the CSV could not.
+    The files hold no ids, so rows get theirs here, once, and keep them in the stored table.
+    Everything after reads that table, which also splits where quoted line breaks keep a CSV
+    file in one task.
     """
-    typed = typed_reviews(read_csv(spark, path, header))
-    stored = new_folder(spark, f"reviews-{split}")
-    with_ids = typed.withColumn("doc_id", F.monotonically_increasing_id())
-    with_ids.write.parquet(stored)
-    rows = spark.read.parquet(stored).select("doc_id", "text", "label")
-    return with_clean_text(rows, clean).withColumn("split", F.lit(split))
+    parts = [
+        typed_reviews(read_csv(spark, path, header)).withColumn("split", F.lit(split))
+        for split, path in paths.items()
+    ]
+    rows = reduce(DataFrame.unionByName, parts)
+    numbered = rows.select(F.monotonically_increasing_id().alias("doc_id"), "*")
+    return write_prepared(with_clean_text(numbered, clean), folder)
+
+
+def load_reviews(
+    spark: SparkSession, path: str, split: str, clean=classic_clean, header: bool = True
+) -> DataFrame:
+    """One delimited review file, stored below the shared folder."""
+    return load_splits(spark, new_folder(spark, "reviews"), clean, header, **{split: path})
 
 
 def literal_text(spark: SparkSession, *texts: str) -> DataFrame:

@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame
 PREDICTION_COLUMNS = ("text", "prediction", "probability_negative", "probability_positive")
 
 
-def write_predictions(df: DataFrame, path: str, *ids: str) -> None:
+def write_table(df: DataFrame, path: str) -> None:
     """Overwrite `path` with CSV files that `read_csv` reads back unchanged."""
     (
-        df.select(*ids, *PREDICTION_COLUMNS)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
@@ -21,6 +20,10 @@ def write_predictions(df: DataFrame, path: str, *ids: str) -> None:
     )
 
 
+def write_predictions(df: DataFrame, path: str, *ids: str) -> None:
+    write_table(df.select(*ids, *PREDICTION_COLUMNS), path)
+
+
 def show_predictions(df: DataFrame, rows: int = 20) -> None:
     df.select(*PREDICTION_COLUMNS).show(rows, truncate=False)
 
