@@ -153,7 +153,7 @@ def tokens_by_length(spark, folder):
 
 
 def map_phase(spark, folder):
-    return pairs.map_phase(R.clean_reviews(spark, folder))
+    return pairs.map_phase(R.clean_reviews(spark, folder), cleaned=True)
 
 
 def map_phase_raw_text(spark, folder):
@@ -173,7 +173,7 @@ def ngram_counts(spark, folder):
 
 
 def document_pairs(spark, folder):
-    return pairs.map_phase(clean_documents(spark, folder), DEFAULTS, "doc_id")
+    return pairs.map_phase(clean_documents(spark, folder), DEFAULTS, "doc_id", cleaned=True)
 
 
 def word_count(spark, folder):

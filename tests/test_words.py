@@ -80,6 +80,7 @@ def test_term_counts_and_word_counts_match_brute_force(spark, docs):
     want = sorted(((w, total[w], freq[w]) for w in total), key=repr)
     assert rows(wordstats.word_counts(table)) == want
     assert rows(wordstats.reduce_counts(pairs.map_phase(table))) == want
+    assert rows(wordstats.reduce_counts(pairs.map_phase(table, cleaned=True))) == want
     counts, n = wordstats.stored_counts(table)
     assert rows(counts) == want
     assert spark.range(1).select(n).first()[0] == len(docs)

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.operators.pairs import term_counts
-from wordloom.operators.tfidf import tfidf
+from wordloom.functions.words import split_clean_words
 from wordloom.options import Options
 
 
@@ -32,17 +31,16 @@ def word_likelihoods(
 ) -> DataFrame:
     """(word, label, idf, theta_bow, theta_tfidf): log-likelihood weights, all words x classes.
 
-    One scan, one shuffle on the word; sums per class are columns until the table is bounded
-    by the vocabulary, so no class becomes a single group.
+    One scan, one shuffle on the word; counts per class are columns until the table is bounded
+    by the vocabulary, so no class becomes a single group. A word's TF-IDF mass is its count
+    times its IDF, so plain words are enough and nothing is counted per text.
     """
-    terms = tfidf(docs, vocab, options, "doc_id", "label")
-    sums = []
-    for i, label in enumerate(classes):
-        in_class = F.col("label") == label
-        for block in ("tf", "tfidf"):
-            total = F.sum(F.when(in_class, F.col(block)).otherwise(0).cast("double"))
-            sums.append(total.alias(f"{block}_{i}"))
-    seen = terms.groupBy("word").agg(*sums)
+    words = _words(docs, "label").join(F.broadcast(vocab.select("word")), "word")
+    sums = [
+        F.count_if(F.col("label") == label).cast("double").alias(f"n_{i}")
+        for i, label in enumerate(classes)
+    ]
+    seen = words.groupBy("word").agg(*sums)
     # Words the labelled texts lack stay in the model with nothing but the smoothing.
     weights = vocab.select("word", "idf").join(seen, "word", "left")
     by_class = weights.select(
@@ -53,8 +51,8 @@ def word_likelihoods(
                 *[
                     F.struct(
                         F.lit(label).alias("label"),
-                        F.coalesce(f"tf_{i}", F.lit(0.0)).alias("bow"),
-                        F.coalesce(f"tfidf_{i}", F.lit(0.0)).alias("tfidf"),
+                        F.coalesce(f"n_{i}", F.lit(0.0)).alias("bow"),
+                        F.coalesce(F.col(f"n_{i}") * F.col("idf"), F.lit(0.0)).alias("tfidf"),
                     )
                     for i, label in enumerate(classes)
                 ]
@@ -87,10 +85,10 @@ def score(docs: DataFrame, priors: DataFrame, likelihoods: DataFrame, *keys: str
     )
     weight = F.col("bow") + F.col("tfidf") * F.col("idf")
     weights = wide.select("word", weight.alias("weight"))
-    terms = term_counts(docs, *keys).join(F.broadcast(weights), "word", "left")
+    words = _words(docs, *keys).join(F.broadcast(weights), "word", "left")
     bias = priors.agg(F.sum(_signed("log_prior"))).scalar()
-    margins = terms.groupBy(*keys).agg(
-        F.sum(F.coalesce(F.col("tf") * F.col("weight"), F.lit(0.0))).alias("_evidence")
+    margins = words.groupBy(*keys).agg(
+        F.sum(F.coalesce(F.col("weight"), F.lit(0.0))).alias("_evidence")
     )
     margin = F.col("_evidence") + bias
     scored = margins.select(*keys, margin.alias("margin"))
@@ -103,5 +101,10 @@ def score(docs: DataFrame, priors: DataFrame, likelihoods: DataFrame, *keys: str
     )
 
 
+def _words(docs: DataFrame, *keys: str) -> DataFrame:
+    words = F.explode_outer(split_clean_words(F.col("text")))
+    return docs.select(*keys, words.alias("word"))
+
+
 def _signed(column: str):
     return F.when(F.col("label") == 1, F.col(column)).otherwise(-F.col(column))

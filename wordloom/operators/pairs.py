@@ -26,17 +26,21 @@ def of_word_length(words: DataFrame, options: Options = Options()) -> DataFrame:
     return words.filter(W.has_word_length(F.col("word"), options))
 
 
-def map_phase(docs: DataFrame, options: Options = Options(), *keys: str) -> DataFrame:
+def map_phase(
+    docs: DataFrame, options: Options = Options(), *keys: str, cleaned: bool = False
+) -> DataFrame:
     """(keys, word, 1) for every word that survives stopwords, normalising and the length test.
 
-    Takes any text. A narrow job: one scan, no shuffle, all in generated code.
+    Takes any text; words of `cleaned` text hold nothing to normalise and skip that regex. A
+    narrow job: one scan, no shuffle, all in generated code.
     """
     keys = keys or ("doc_id", "label")
     words = tokens(docs, *keys)
     if options.remove_stopwords:
         words = without_stopwords(words)
-    kept = of_word_length(normalised(words, options.unicode), options)
-    return kept.select(*keys, "word", F.lit(1).alias("count"))
+    if not cleaned:
+        words = normalised(words, options.unicode)
+    return of_word_length(words, options).select(*keys, "word", F.lit(1).alias("count"))
 
 
 def term_counts(docs: DataFrame, *keys: str) -> DataFrame:
@@ -85,14 +89,22 @@ def kept_term_counts(docs: DataFrame, options: Options = Options(), *keys: str)
 
 
 def ngram_pairs(docs: DataFrame, options: Options = Options(), *keys: str) -> DataFrame:
-    """(keys, n, gram) for every n-gram of the kept words, for each n of the configured range."""
+    """(keys, n, gram) for every n-gram of the kept words, for each n of the configured range.
+
+    A word looks up the words that follow it in its text's array; grams that would run past
+    the end come out null and are dropped.
+    """
     keys = keys or ("doc_id",)
-    words = docs.select(*keys, W.kept_words(F.col("text"), options).alias("_words"))
+    listed = docs.select(*keys, W.kept_words(F.col("text"), options).alias("_words"))
+    placed = listed.select(*keys, "_words", F.posexplode_outer("_words").alias("pos", "word"))
     low, high = options.ngram_range
     grams = [
-        F.transform(W.ngrams(F.col("_words"), n), _sized(n)) for n in range(low, high + 1)
+        F.struct(F.lit(n).alias("n"), _gram_from_here(n).alias("gram"))
+        for n in range(low, high + 1)
     ]
-    return words.select(*keys, F.inline_outer(F.concat(*grams))).filter(F.col("gram").isNotNull())
+    return placed.select(*keys, F.inline_outer(F.array(*grams))).filter(
+        F.col("gram").isNotNull()
+    )
 
 
 def ngram_counts(docs: DataFrame, options: Options = Options()) -> DataFrame:
@@ -100,8 +112,11 @@ def ngram_counts(docs: DataFrame, options: Options = Options()) -> DataFrame:
     return grams.groupBy("n", "gram").agg(F.count("*").alias("total_count"))
 
 
-def _sized(n: int):
-    return lambda gram: F.struct(F.lit(n).alias("n"), gram.alias("gram"))
+def _gram_from_here(n: int):
+    parts = [F.col("word")]
+    for ahead in range(1, n):
+        parts += [F.lit(" "), F.get("_words", F.col("pos") + ahead)]
+    return F.concat(*parts)
 
 
 def _exploded(docs: DataFrame, keys, words) -> DataFrame:
