@@ -493,13 +493,8 @@ def evaluate_saved_model(spark, folder):
 
 def stream_scores(spark, folder):
     model = fitted_pipeline(spark, folder)
-    # The folder holds many tables; the stream takes the files of one.
-    texts = arriving_texts(
-        spark,
-        folder,
-        "doc_id bigint, text string",
-        pathGlobFilter="documents.parquet",
-    )
+    # As a pattern the path may be one file or a folder of files.
+    texts = arriving_texts(spark, f"{folder}/documents.parquet*", "doc_id bigint, text string")
     output = new_folder(spark, "stream-scores")
     query = start_scoring(
         model, texts, output, new_folder(spark, "stream-state"), "doc_id", available_now=True

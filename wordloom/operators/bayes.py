@@ -16,7 +16,8 @@ from wordloom.options import Options
 
 def class_priors(docs: DataFrame, options: Options = Options()) -> DataFrame:
     """(label, n_docs, log_prior), one row per class."""
-    counts = docs.groupBy("label").agg(F.count("*").alias("n_docs"))
+    with_label = docs.filter(F.col("label").isNotNull())
+    counts = with_label.groupBy("label").agg(F.count("*").alias("n_docs"))
     whole = counts.agg(
         F.struct(F.sum("n_docs").alias("docs"), F.count("*").alias("classes"))
     ).scalar()

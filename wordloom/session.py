@@ -50,12 +50,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Even out an input that has fewer splits than the session has cores.
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Even out a table scan that has fewer splits than the session has cores.
 
-    Anything larger than one wave of splits is returned untouched, so big scans never shuffle.
+    Anything larger than two waves of splits is returned untouched, so big scans never shuffle.
+    Only for plain scans: asking a plan with a shuffle for its partitions would run the shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= 2 * cores:
-        return df
-    return df.repartition(cores, key)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= 2 * cores:
+        return scan
+    return scan.repartition(cores, key)

@@ -92,9 +92,8 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
     """The labelled texts of a table folder as (doc_id, text, label)."""
     labels = read_table(spark, folder, "labels").select("doc_id", F.col(label).alias("label"))
-    texts = read_table(spark, folder, "documents").select("doc_id", "text")
-    joined = texts.filter(F.col("text").isNotNull()).join(labels, "doc_id")
-    return typed_reviews(spread(joined, "doc_id"), "doc_id")
+    texts = documents(spark, folder).filter(F.col("text").isNotNull())
+    return typed_reviews(texts.join(labels, "doc_id"), "doc_id")
 
 
 def clean_reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
