@@ -523,6 +523,20 @@ QUERIES = {
     )
 }
 QUERIES["tfidf"] = tfidf_table
+SQL = dict(ORACLES)
+
+try:
+    import corpus_pipeline
+    from wordloom.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The training-data operators are an optional folder; anything else that is missing is not.
+    if not str(missing.name).startswith(("corpus_pipeline", "wordloom.llm")):
+        raise
+else:
+    QUERIES |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    SQL |= llm_queries.ORACLES
+    if corpus_pipeline.ORACLE_SQL:
+        SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -530,4 +544,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return dict(SQL)
