@@ -1,3 +1,43 @@
 """DuckDB SQL for the queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op1_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op7_mixing": r"""
+WITH docs AS (
+  SELECT doc_id, source, text,
+         CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t-\r]+'), lambda w: w <> ''))
+              AS BIGINT) AS size
+  FROM documents),
+sources AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM (SELECT source, sum(size) AS source_size FROM docs GROUP BY source)),
+levels AS (
+  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER earlier, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+  FROM sources
+  WINDOW earlier AS (ORDER BY source_size / weight, source
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+-- The share per weight once all sources that it would fill beyond their limit are at the limit.
+share AS (
+  SELECT min(level) AS level FROM levels WHERE level * weight <= 3 * source_size),
+aims AS (
+  SELECT source, source_size, least(3.0 * source_size, share.level * weight) AS target
+  FROM sources, share),
+quotas AS (
+  SELECT *, least(3 * source_size, CAST(floor(target + 0.5) AS BIGINT)) AS quota FROM aims),
+streams AS (
+  SELECT docs.*, source_size, target, quota,
+         sum(size) OVER (PARTITION BY docs.source ORDER BY md5('mix:' || CAST(doc_id AS VARCHAR)), doc_id)
+           - size AS start
+  FROM docs JOIN quotas ON docs.source IS NOT DISTINCT FROM quotas.source)
+SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6) AS target,
+       CAST(list_sum(list_transform([0, 1, 2], lambda e:
+         least(e * source_size + start + size, quota) - least(e * source_size + start, quota)))
+         AS BIGINT) AS taken
+FROM streams
+""",
+}

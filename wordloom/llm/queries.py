@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from wordloom.llm.exact_duplicates import exact_duplicates
+from wordloom.llm.mixing import mix
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracles import ORACLES  # noqa: F401
+from wordloom.llm.sharding import shards
 from wordloom.sources.reviews import read_table
 
 
@@ -13,8 +17,32 @@ def documents(spark, folder) -> DataFrame:
     return read_table(spark, folder, "documents")
 
 
+def op1_exact_dedup(spark, folder):
+    return exact_duplicates(documents(spark, folder), keep="largest")
+
+
 def op3_minhash_near_dedup(spark, folder):
     return near_duplicates(documents(spark, folder), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op3_minhash_near_dedup,)}
+def op4_sharding(spark, folder):
+    law, grown = F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return shards(documents(spark, folder), 8).select("*", law, grown)
+
+
+def op7_mixing(spark, folder):
+    table, _ = mix(documents(spark, folder))
+    return table.select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken"
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_exact_dedup,
+        op3_minhash_near_dedup,
+        op4_sharding,
+        op7_mixing,
+    )
+}
