@@ -16,14 +16,15 @@ sources AS (
   SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
   FROM (SELECT source, sum(size) AS source_size FROM docs GROUP BY source)),
 levels AS (
-  SELECT *, (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER earlier, 0))
+  SELECT *, row_number() OVER (ORDER BY source_size / weight, source) AS place,
+         (sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER earlier, 0))
             / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
   FROM sources
   WINDOW earlier AS (ORDER BY source_size / weight, source
                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 -- The share per weight once all sources that it would fill beyond their limit are at the limit.
 share AS (
-  SELECT min(level) AS level FROM levels WHERE level * weight <= 3 * source_size),
+  SELECT arg_min(level, place) AS level FROM levels WHERE level * weight <= 3 * source_size),
 aims AS (
   SELECT source, source_size, least(3.0 * source_size, share.level * weight) AS target
   FROM sources, share),
