@@ -9,6 +9,8 @@ from wordloom.llm.exact_duplicates import exact_duplicates
 from wordloom.llm.mixing import mix
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracles import ORACLES  # noqa: F401
+from wordloom.llm.quality import quality_scores
+from wordloom.llm.sentence_pieces import digests
 from wordloom.llm.sharding import shards
 from wordloom.sources.reviews import read_table
 
@@ -37,6 +39,21 @@ def op7_mixing(spark, folder):
     )
 
 
+def piece_model() -> str:
+    """The vocabulary file that the queries encode with; the operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op9_sentence_pieces(spark, folder):
+    return digests(documents(spark, folder), piece_model())
+
+
+def op10_quality_classifier(spark, folder):
+    return quality_scores(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -44,5 +61,7 @@ QUERIES = {
         op3_minhash_near_dedup,
         op4_sharding,
         op7_mixing,
+        op9_sentence_pieces,
+        op10_quality_classifier,
     )
 }
