@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.exact_duplicates import exact_duplicates
+from wordloom.llm.fingerprints import fingerprints_with_edits
 from wordloom.llm.mixing import mix
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracles import ORACLES  # noqa: F401
@@ -32,6 +33,10 @@ def op4_sharding(spark, folder):
     return shards(documents(spark, folder), 8).select("*", law, grown)
 
 
+def op6_imatch_fingerprints(spark, folder):
+    return fingerprints_with_edits(documents(spark, folder))
+
+
 def op7_mixing(spark, folder):
     table, _ = mix(documents(spark, folder))
     return table.select(
@@ -60,6 +65,7 @@ QUERIES = {
         op1_exact_dedup,
         op3_minhash_near_dedup,
         op4_sharding,
+        op6_imatch_fingerprints,
         op7_mixing,
         op9_sentence_pieces,
         op10_quality_classifier,
