@@ -11,6 +11,7 @@ from wordloom.llm.mixing import mix
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracles import ORACLES  # noqa: F401
 from wordloom.llm.quality import quality_scores
+from wordloom.llm.scoring import language_scores
 from wordloom.llm.sentence_pieces import digests
 from wordloom.llm.sharding import shards
 from wordloom.sources.reviews import read_table
@@ -24,6 +25,10 @@ def op1_exact_dedup(spark, folder):
     return exact_duplicates(documents(spark, folder), keep="largest")
 
 
+def op2_lattice_scores(spark, folder):
+    return language_scores(documents(spark, folder), piece_model())
+
+
 def op3_minhash_near_dedup(spark, folder):
     return near_duplicates(documents(spark, folder), percent=85)
 
@@ -63,6 +68,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_exact_dedup,
+        op2_lattice_scores,
         op3_minhash_near_dedup,
         op4_sharding,
         op6_imatch_fingerprints,
