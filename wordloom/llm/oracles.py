@@ -5,6 +5,32 @@ ORACLES = {
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""",
+    "op5_warc_fixity": r"""
+WITH records AS (
+  SELECT page_id, html,
+         concat('WARC/1.1', chr(13), chr(10), 'WARC-Type: resource', chr(13), chr(10),
+                'WARC-Record-ID: <urn:page:', page_id, '>', chr(13), chr(10),
+                'WARC-Target-URI: ', url, chr(13), chr(10),
+                'WARC-Date: 2025-01-01T00:00:00Z', chr(13), chr(10),
+                'Content-Type: text/html', chr(13), chr(10),
+                'Content-Length: ', strlen(coalesce(html, '')), chr(13), chr(10), chr(13), chr(10),
+                html, chr(13), chr(10), chr(13), chr(10)) AS record
+  FROM pages),
+placed AS (
+  SELECT page_id, html, row_number() OVER (ORDER BY page_id) - 1 AS place,
+         strlen(record) AS length, sha256(record) AS record_sha256
+  FROM records),
+filed AS (
+  SELECT *, place // 4096 AS file,
+         CAST(coalesce(sum(length) OVER (PARTITION BY place // 4096 ORDER BY place
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset"
+  FROM placed)
+SELECT page_id, place, file, "offset", length, record_sha256,
+       sha256(concat(file, ':', "offset", ':', record_sha256)) AS digest,
+       CASE WHEN page_id % 211 = 17 THEN 'missing'
+            WHEN page_id % 97 = 13 AND right(html, 1) <> '~' THEN 'corrupt' ELSE 'sound' END AS status
+FROM filed
 """,
     "op7_mixing": r"""
 WITH docs AS (

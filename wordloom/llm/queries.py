@@ -14,6 +14,7 @@ from wordloom.llm.quality import quality_scores
 from wordloom.llm.scoring import language_scores
 from wordloom.llm.sentence_pieces import digests
 from wordloom.llm.sharding import shards
+from wordloom.llm.warc import fixity_audit, laid_out
 from wordloom.sources.reviews import read_table
 
 
@@ -38,6 +39,17 @@ def op4_sharding(spark, folder):
     return shards(documents(spark, folder), 8).select("*", law, grown)
 
 
+def op5_warc_fixity(spark, folder):
+    """All pages as an archive, against a replica in which some last characters are changed and
+    some records are gone."""
+    pages = read_table(spark, folder, "pages")
+    cut_short = F.expr("concat(substring(html, 1, length(html) - 1), '~')")
+    hit = F.col("page_id") % 97 == 13
+    replica = laid_out(pages.withColumn("html", F.when(hit, cut_short).otherwise(F.col("html"))))
+    replica = replica.filter("page_id % 211 <> 17")
+    return fixity_audit(laid_out(pages), replica)
+
+
 def op6_imatch_fingerprints(spark, folder):
     return fingerprints_with_edits(documents(spark, folder))
 
@@ -71,6 +83,7 @@ QUERIES = {
         op2_lattice_scores,
         op3_minhash_near_dedup,
         op4_sharding,
+        op5_warc_fixity,
         op6_imatch_fingerprints,
         op7_mixing,
         op9_sentence_pieces,
