@@ -167,7 +167,7 @@ def mix(
     """The documents (doc_id, text, source) with what the mixture takes of each, and the schedule.
 
     First table, one row per row of docs: doc_id, text_key, size (words), source, source_size,
-    target, begin, taken (words, repeats counted). A source's quota is its target rounded to whole
+    target, quota, begin, taken (words, repeats counted). A source's quota is its target rounded to whole
     words; its stream gives out exactly that many, no word more than three times. Null texts have
     size 0 and are never taken; a null source is a source; null ids are shuffled as one id and
     stand by size. Rows that repeat one another take their own places. An empty table gives empty
@@ -183,7 +183,29 @@ def mix(
         taken.withColumn("some", F.lit(True)), ["s", "begin", "some"], "left"
     )
     table = both.select(
-        "doc_id", "text_key", "size", "source", "source_size", "target", "begin",
+        "doc_id", "text_key", "size", "source", "source_size", "target", "quota", "begin",
         F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
     )
     return table, plan
+
+
+def mixed(docs: DataFrame, weights=cyclic_weights, block: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
+    """docs as the mixture takes them: each row as often as passes over its source's stream take
+    at least half of its words, so never or up to three times, with all columns as they are.
+
+    Rows equal in doc_id and text get the same number of copies.
+    """
+    table, _ = mix(docs, weights, block, seed)
+    half = F.col("begin") + F.expr("(size + 1) div 2")
+    passes = [
+        (half + k * F.col("source_size") <= F.col("quota")).cast("int") for k in range(MOST_REPEATS)
+    ]
+    copies = F.when(F.col("size") > 0, sum(passes)).otherwise(0)
+    wanted = table.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
+        F.max(copies).alias("__copies")
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col("__key")
+    )
+    rows = docs.join(wanted.filter("__copies > 0"), same)
+    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")

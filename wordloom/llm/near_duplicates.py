@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordloom.llm.bytewise import U64, lists, mix, seeded, sums_by
 from wordloom.llm.components import components
@@ -69,7 +70,7 @@ def parity_bitmap(values, owner, sizes) -> np.ndarray:
     return out
 
 
-SIGNED = "doc_id long, n long, d1 long, d2 long, bands array<long>, parity array<long>"
+SIGNED = "doc_id long, text_key long, n long, d1 long, d2 long, bands array<long>, parity array<long>"
 
 
 def _signatures(width: int, bands: int, rows: int):
@@ -86,13 +87,14 @@ def _signatures(width: int, bands: int, rows: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(i, j - i),
+                        batch.column("text_key").slice(i, j - i),
                         pa.array(sizes.astype(np.int64)),
                         pa.array(d1.view(np.int64)),
                         pa.array(d2.view(np.int64)),
                         lists(keys[sizes > 0].ravel().view(np.int64), each),
                         lists(parity.ravel().view(np.int64), np.full(j - i, PARITY_WORDS)),
                     ],
-                    ["doc_id", "n", "d1", "d2", "bands", "parity"],
+                    ["doc_id", "text_key", "n", "d1", "d2", "bands", "parity"],
                 )
 
     return of
@@ -151,7 +153,8 @@ def near_duplicates(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    signed = cut(texts.mapInArrow(_signatures(width, bands, rows), SIGNED))
+    keyed = texts.withColumn("text_key", F.xxhash64("text"))
+    signed = cut(keyed.mapInArrow(_signatures(width, bands, rows), SIGNED))
     key = ["n", "d1", "d2"]
     classes = cut(
         signed.filter("n > 0")
@@ -217,7 +220,7 @@ def near_duplicates(
         )
     )
     # Many rows may share one class: adaptive execution splits that side of the join.
-    rows_out = signed.select("doc_id", *key).join(named, key, "left")
+    rows_out = signed.select("doc_id", "text_key", *key).join(named, key, "left")
     component = F.coalesce("component", "doc_id")
     return rows_out.select(
         "doc_id",
@@ -225,4 +228,23 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("component").isNull()).alias("kept"),
         F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+        "text_key",
     )
+
+
+def one_of_each(docs: DataFrame, percent: int = 80, **settings) -> DataFrame:
+    """The rows of docs whose document stays, with all columns as they are.
+
+    One row stays of each component; of rows that repeat its id, the one with the least hashes of
+    text, then of the whole row. Rows without words are linked with nothing and stay.
+    """
+    found = near_duplicates(docs, percent, **settings).filter("kept")
+    # One text for each id; null ids go by their texts.
+    one = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_key").alias("__key"))
+    lone = found.filter("doc_id IS NULL").select("doc_id", F.col("text_key").alias("__key"))
+    one = one.union(lone.distinct()).withColumnRenamed("doc_id", "__id")
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    rows = docs.join(one, same)
+    first = Window.partitionBy("__id", "__key").orderBy(F.xxhash64(*docs.columns))
+    return rows.withColumn("__place", F.row_number().over(first)).filter("__place = 1").select(*docs.columns)

@@ -66,5 +66,40 @@ SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, round(target, 6
          least(e * source_size + start + size, quota) - least(e * source_size + start, quota)))
          AS BIGINT) AS taken
 FROM streams
+""",
+    "op8_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS number
+  FROM documents),
+split AS (
+  SELECT doc_id, number, list_filter(regexp_split_to_array(
+           translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[ \t-\r]+'), lambda w: w <> '') AS words
+  FROM lines),
+sets AS (
+  SELECT doc_id, number, list_distinct(words) AS words, len(list_distinct(words)) AS n
+  FROM split WHERE len(words) >= 5),
+used AS (SELECT word, count(*) AS uses FROM (SELECT unnest(words) AS word FROM sets) GROUP BY word),
+-- Two sets of that likeness share one of their rarest words, n - ceil(0.8 n) + 1 of each.
+ranked AS (
+  SELECT doc_id, number, n, word, row_number() OVER (PARTITION BY doc_id, number ORDER BY uses, word) AS place
+  FROM (SELECT doc_id, number, n, unnest(words) AS word FROM sets) JOIN used USING (word)),
+rare AS (SELECT * FROM ranked WHERE place <= n - (n * 80 + 99) // 100 + 1),
+pairs AS (
+  SELECT DISTINCT a.doc_id, a.number, b.doc_id AS other_id, b.number AS other_number
+  FROM rare a JOIN rare b ON a.word = b.word AND (b.doc_id, b.number) < (a.doc_id, a.number)
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+gone AS (
+  SELECT DISTINCT pairs.doc_id, pairs.number
+  FROM pairs JOIN sets a ON a.doc_id = pairs.doc_id AND a.number = pairs.number
+    JOIN sets b ON b.doc_id = other_id AND b.number = other_number
+  WHERE 180 * len(list_intersect(a.words, b.words)) >= 80 * (a.n + b.n)),
+rest AS (
+  SELECT lines.doc_id, count(gone.number) AS lines_removed,
+         coalesce(string_agg(line, chr(10) ORDER BY lines.number) FILTER (gone.number IS NULL), '') AS text
+  FROM lines LEFT JOIN gone ON gone.doc_id = lines.doc_id AND gone.number = lines.number
+  GROUP BY lines.doc_id)
+SELECT doc_id, lines_removed, length(text) AS n_chars_left, sha256(text) AS text_sha256 FROM rest
 """,
 }

@@ -183,6 +183,37 @@ def with_scores(rows: DataFrame, model: QualityModel, name: str = "score") -> Da
     return rows.withColumn(name, score("features"))
 
 
+def good_texts(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> DataFrame:
+    """The rows of docs that the classifier, fitted as in `quality_scores`, takes for good."""
+    model = fit_quality(labelled_statistics(docs, labels), shrinkage)
+
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        hasher = WordHasher()
+        data, offsets = byte_view(texts)
+        parts = [
+            model.scores(statistics(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], hasher))
+            for i, j in runs(offsets)
+        ]
+        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumn("__score", score(text)).filter(F.col("__score") >= THRESHOLD).drop("__score")
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(features, label) of the rows that are not held out and have a label."""
+    train = document_statistics(docs.filter(~held_out(F.col("doc_id"))))
+    return _with_labels(train, labels)
+
+
+def _with_labels(table: DataFrame, labels: DataFrame) -> DataFrame:
+    known = labels.select(
+        F.col("doc_id").alias("labelled_id"), F.col("quality").cast("int").alias("label")
+    )
+    return table.join(known, F.col("doc_id") == F.col("labelled_id"))
+
+
 def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
     """Rows that no fit may see. A null id is held out too, as no label can belong to it."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(True))
@@ -197,10 +228,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINK
     rows. Extra columns are ignored.
     """
     table = cut(document_statistics(docs).withColumn("held_out", held_out(F.col("doc_id"))))
-    known = labels.select(
-        F.col("doc_id").alias("labelled_id"), F.col("quality").cast("int").alias("label")
-    )
-    train = table.filter(~F.col("held_out")).join(known, F.col("doc_id") == F.col("labelled_id"))
+    train = _with_labels(table.filter(~F.col("held_out")), labels)
     scored = with_scores(table, fit_quality(train, shrinkage))
     predicted = (F.col("score") >= THRESHOLD).cast("int")
     return scored.select("doc_id", "held_out", "score", predicted.alias("predicted"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.llm.exact_duplicates import exact_duplicates
 from wordloom.llm.fingerprints import fingerprints_with_edits
+from wordloom.llm.line_duplicates import deduplicated
 from wordloom.llm.mixing import mix
 from wordloom.llm.near_duplicates import near_duplicates
 from wordloom.llm.oracles import ORACLES  # noqa: F401
@@ -31,7 +32,7 @@ def op2_lattice_scores(spark, folder):
 
 
 def op3_minhash_near_dedup(spark, folder):
-    return near_duplicates(documents(spark, folder), percent=85)
+    return near_duplicates(documents(spark, folder), percent=85).drop("text_key")
 
 
 def op4_sharding(spark, folder):
@@ -61,6 +62,16 @@ def op7_mixing(spark, folder):
     )
 
 
+def op8_line_dedup(spark, folder):
+    rest = deduplicated(documents(spark, folder))
+    return rest.select(
+        "doc_id",
+        "lines_removed",
+        F.char_length("text").cast("long").alias("n_chars_left"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def piece_model() -> str:
     """The vocabulary file that the queries encode with; the operators take any path."""
     import public_tokenizers
@@ -86,6 +97,7 @@ QUERIES = {
         op5_warc_fixity,
         op6_imatch_fingerprints,
         op7_mixing,
+        op8_line_dedup,
         op9_sentence_pieces,
         op10_quality_classifier,
     )
