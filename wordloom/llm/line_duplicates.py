@@ -27,6 +27,7 @@ from wordloom.llm.bytewise import (
     sums_by,
     word_limits,
 )
+from wordloom.llm.names import unused
 from wordloom.session import cut
 
 HEAD_WORDS = 1 << 16
@@ -308,17 +309,16 @@ def deduplicated(docs: DataFrame, percent: int = 80, least_words: int = LEAST_WO
     none is unchanged, null stays null. Rows equal in doc_id and text are judged as one. An empty
     table stays empty.
     """
-    gone = removed_lines(docs, percent, least_words).select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("lines").alias("__gone")
-    )
+    own, key, lost = unused(docs, "own_id", "own_key", "lost")
+    gone = removed_lines(docs, percent, least_words).toDF(own, key, lost)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text) == F.col("__key"))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(key))
     both = docs.join(gone, same, "left")
     rest = F.filter(
-        F.split("text", "\n"), lambda line, k: ~F.array_contains("__gone", k.cast("long"))
+        F.split("text", "\n"), lambda line, k: ~F.array_contains(lost, k.cast("long"))
     )
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    removed = F.coalesce(F.size("__gone"), F.lit(0)).cast("long")
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    removed = F.coalesce(F.size(lost), F.lit(0)).cast("long")
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
     columns = [c for c, name in zip(columns, docs.columns) if name != "lines_removed"]
     return both.select(*columns, removed.alias("lines_removed"))

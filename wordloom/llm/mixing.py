@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.llm.names import unused
 from wordloom.llm.places import constants, place
 from wordloom.operators.ordering import with_rank, with_total_before
 from wordloom.session import cut
@@ -201,11 +202,12 @@ def mixed(docs: DataFrame, weights=cyclic_weights, block: int = BLOCK_WORDS, see
         (half + k * F.col("source_size") <= F.col("quota")).cast("int") for k in range(MOST_REPEATS)
     ]
     copies = F.when(F.col("size") > 0, sum(passes)).otherwise(0)
-    wanted = table.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).agg(
-        F.max(copies).alias("__copies")
+    own, key, times, copy = unused(docs, "own_id", "own_key", "times", "copy")
+    wanted = table.groupBy(F.col("doc_id").alias(own), F.col("text_key").alias(key)).agg(
+        F.max(copies).alias(times)
     )
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col("__key")
+    same = F.col("doc_id").eqNullSafe(F.col(own)) & (
+        F.xxhash64(F.col("text").cast("string")) == F.col(key)
     )
-    rows = docs.join(wanted.filter("__copies > 0"), same)
-    return rows.select(*docs.columns, F.explode(F.sequence(F.lit(1), "__copies")).alias("__copy")).drop("__copy")
+    rows = docs.join(wanted.filter(F.col(times) > 0), same)
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)

@@ -19,14 +19,23 @@ from pyspark.sql.window import Window
 
 from wordloom.llm.bytewise import U64, lists, mix, seeded, sums_by
 from wordloom.llm.components import components
+from wordloom.llm.names import unused
 from wordloom.llm.shingles import shingle_sets
 from wordloom.session import cut
 
 BANDS = 32
-ROWS = 8
+MOST_ROWS = 8
+MISSES = 1e-4
 PARITY_WORDS = 8  # 64-bit words of the parity bitmap
 
 
+def rows_for(percent: int, bands: int) -> int:
+    """The most rows a band with which a pair of just that similarity is missed with odds of at
+    most `MISSES`."""
+    fit = [r for r in range(1, MOST_ROWS + 1) if (1 - (percent / 100) ** r) ** bands <= MISSES]
+    return max(fit, default=1)
+
+
 def bin_minima(values, owner, sizes, bins: int) -> np.ndarray:
     """Least value per owner and bin of the hash range, empty bins densified.
 
@@ -135,15 +144,16 @@ def near_duplicates(
     percent: int = 80,
     width: int = 5,
     bands: int = BANDS,
-    rows: int = ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
-    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept, links.
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id, kept, text_key.
 
     Two texts are linked if 100 * shared >= percent * union over their distinct shingles of
     `width` lower-cased words; a shorter text is one shingle, a text without words none and never
-    linked. component_id is the least doc_id reachable over links, `links` the links of the row's
-    class to classes with other sets that were confirmed. A pair at the limit of 85 % is missed
-    with odds of about 4 in 100,000, and then only if no other links join the two.
+    linked. component_id is the least doc_id reachable over links, text_key xxhash64 of the text.
+    Pairs that other links join already are not compared again. `rows` of a band are by default so
+    many that a pair at the limit is missed with odds below 1 in 10,000; a miss matters only if no
+    other links join the two.
 
     Null texts count as empty. Rows that share a doc_id are one node. A row without doc_id gets
     the component of its copies and no link of its own; alone it keeps component null and stays.
@@ -153,6 +163,7 @@ def near_duplicates(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
+    rows = rows_for(percent, bands) if rows is None else rows
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
     signed = cut(keyed.mapInArrow(_signatures(width, bands, rows), SIGNED))
     key = ["n", "d1", "d2"]
@@ -206,18 +217,10 @@ def near_duplicates(
     more = cut(_confirmed(pairs, texts, width, percent))
     links = linked.union(more)
     label = cut(components(links))
-    ends = links.select(F.explode(F.array("a", "b")).alias("node"))
-    degree = ends.groupBy("node").agg(F.count("*").alias("links"))
     named = (
         classes.select(*key, "rep")
         .join(label, F.col("rep") == label["node"], "left")
-        .drop("node")
-        .join(degree, F.col("rep") == degree["node"], "left")
-        .select(
-            *key,
-            F.coalesce("component", "rep").alias("component"),
-            F.coalesce("links", F.lit(0)).alias("links"),
-        )
+        .select(*key, F.coalesce("component", "rep").alias("component"))
     )
     # Many rows may share one class: adaptive execution splits that side of the join.
     rows_out = signed.select("doc_id", "text_key", *key).join(named, key, "left")
@@ -227,7 +230,6 @@ def near_duplicates(
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.col("component").isNull()).alias("kept"),
-        F.coalesce("links", F.lit(0)).cast("long").alias("links"),
         "text_key",
     )
 
@@ -240,11 +242,13 @@ def one_of_each(docs: DataFrame, percent: int = 80, **settings) -> DataFrame:
     """
     found = near_duplicates(docs, percent, **settings).filter("kept")
     # One text for each id; null ids go by their texts.
-    one = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_key").alias("__key"))
-    lone = found.filter("doc_id IS NULL").select("doc_id", F.col("text_key").alias("__key"))
-    one = one.union(lone.distinct()).withColumnRenamed("doc_id", "__id")
-    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (key == F.col("__key"))
+    own, key, place = unused(docs, "own_id", "own_key", "place")
+    one = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("text_key"))
+    lone = found.filter("doc_id IS NULL").select("doc_id", "text_key").distinct()
+    one = one.union(lone).toDF(own, key)
+    text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (text_key == F.col(key))
     rows = docs.join(one, same)
-    first = Window.partitionBy("__id", "__key").orderBy(F.xxhash64(*docs.columns))
-    return rows.withColumn("__place", F.row_number().over(first)).filter("__place = 1").select(*docs.columns)
+    first = Window.partitionBy(own, key).orderBy(F.xxhash64(*docs.columns))
+    rows = rows.withColumn(place, F.row_number().over(first)).filter(F.col(place) == 1)
+    return rows.select(*docs.columns)

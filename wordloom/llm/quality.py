@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.bytewise import WordHasher, byte_view, lists, lowered, runs, word_limits
+from wordloom.llm.names import unused
 from wordloom.session import cut
 
 FEATURES = (
@@ -198,7 +199,8 @@ def good_texts(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE)
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.withColumn("__score", score(text)).filter(F.col("__score") >= THRESHOLD).drop("__score")
+    (name,) = unused(docs, "score")
+    return docs.withColumn(name, score(text)).filter(F.col(name) >= THRESHOLD).drop(name)
 
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
