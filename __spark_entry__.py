@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -10,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayesModel
+from pyspark.ml.classification import NaiveBayesModel, RandomForestClassifier
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,15 +19,16 @@ from oracles import ORACLES
 from wordloom import Options
 from wordloom.functions import cleaning as C
 from wordloom.operators import bayes, metrics, pairs, sequences, splits, tfidf, wordstats
-from wordloom.plans import evaluation, pipeline, scoring, tuning
+from wordloom.plans import evaluation, pipeline, scoring, training, tuning
 from wordloom.plans.runlog import RunLog, compare_runs
-from wordloom.session import cut, new_folder, spread
+from wordloom.session import cut, new_folder
 from wordloom.sources import reviews as R
 from wordloom.sources import sinks, stages
 from wordloom.streaming.scoring import arriving_texts, start_scoring
 
 SMALLEST = "/root/testdata/sf0.001"
 DEFAULTS = Options()
+METRIC_PLACES = 4
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -51,7 +53,7 @@ def pages(spark, folder):
 
 def train_test(spark, folder):
     """Cleaned reviews, prepared once and stored by split, as every later pass reads them."""
-    docs = R.clean_reviews(spark, folder)
+    docs = R.labelled(R.clean_reviews(spark, folder))
     split = F.when(splits.is_validation(F.col("doc_id")), "test").otherwise("train")
     path = new_folder(spark, "prepared")
     stages.write_prepared(docs.withColumn("split", split), path)
@@ -89,6 +91,60 @@ def clean_steps(spark, folder):
     )
 
 
+def mixed_labels(spark, folder):
+    """Reviews whose label is a text that is not always a number."""
+    labels = R.read_table(spark, folder, "labels").select("doc_id", "quality")
+    docs = R.read_table(spark, folder, "documents").select("doc_id", "text", "source")
+    label = F.when(F.col("doc_id") % 10 == 3, F.col("source")).otherwise(
+        F.col("quality").cast("string")
+    )
+    rows = docs.join(labels, "doc_id").select("doc_id", "text", label.alias("label"))
+    return R.typed_reviews(rows, "doc_id")
+
+
+def mixed_labels_typed(spark, folder):
+    return mixed_labels(spark, folder).select("doc_id", "label")
+
+
+def label_rejects(spark, folder):
+    return R.rejects(mixed_labels(spark, folder))
+
+
+def page_steps(spark, folder):
+    text = F.col("text")
+    return pages(spark, folder).select(
+        "page_id",
+        C.trim_spaces(text).alias("trimmed"),
+        C.breaks_to_spaces(text).alias("without_breaks"),
+        C.punctuation_to_spaces(text).alias("without_punctuation"),
+        C.collapse_spaces(text).alias("collapsed"),
+    )
+
+
+def page_classic(spark, folder):
+    return C.with_clean_text(pages(spark, folder))
+
+
+def page_pipeline_cleaning(spark, folder):
+    clean = F.expr(C.classic_clean_sql("text"))
+    return pages(spark, folder).select("page_id", clean.alias("text"))
+
+
+def blanked(spark, folder, pattern, by):
+    """Documents of which every fifth is rid of what the pattern finds."""
+    text = F.when(F.col("doc_id") % 5 == 0, F.regexp_replace("text", pattern, by))
+    return R.documents(spark, folder).withColumn("text", text.otherwise(F.col("text")))
+
+
+def clean_blanked(spark, folder):
+    return C.with_clean_text(blanked(spark, folder, r"\w+", ".")).select("doc_id", "text")
+
+
+def blanked_status(spark, folder):
+    texts = blanked(spark, folder, r"[^\x20\n]", "")
+    return texts.select("doc_id", C.input_status(F.col("text")).alias("status"))
+
+
 def clean_classic(spark, folder):
     return R.clean_reviews(spark, folder)
 
@@ -190,8 +246,7 @@ def doc_total(spark, folder):
 
 
 def count_join_df(spark, folder):
-    words = document_pairs(spark, folder)
-    return wordstats.total_counts(words).join(wordstats.doc_freqs(words), "word")
+    return wordstats.word_counts(clean_documents(spark, folder))
 
 
 def reduce_phase_pairs(spark, folder):
@@ -400,27 +455,143 @@ def predictions_csv(spark, folder):
     )
 
 
+ALL_METRICS = ("accuracy", "precision", "recall", "f1", "auc", "auc_raw", "log_loss")
+
+
+def measured(spark, values):
+    table = spark.createDataFrame(list(values.items()), "metric string, value double")
+    return table.select("metric", F.round("value", METRIC_PLACES).alias("value"))
+
+
 def evaluate_pipeline(spark, folder):
     train, test = train_test(spark, folder)
     model = pipeline.fit_classifier(train)
-    # The margin of a two-class score orders texts as the probability does, without rounding
-    # to 0 and 1 at the ends.
-    raw = evaluation.predictions(model, test)
-    parts = F.unwrap_udt("rawPrediction")["values"]
-    margin = F.round(F.get(parts, F.lit(1)) - F.get(parts, F.lit(0)), 6)
-    scored = cut(raw.select("label", "prediction", margin.alias("margin")))
-    return rounded(metrics.all_metrics(scored, "margin", DEFAULTS.metrics))
+    return measured(spark, evaluation.evaluate(model, test, ALL_METRICS))
+
+
+def smoothing_scores(spark, folder):
+    """(smoothing, held-out scores): one prepared corpus and one vocabulary for all of them."""
+    train, test = train_test(spark, folder)
+    vocab = cut(tfidf.feature_vocabulary(train))
+    for smoothing in (0.5, 1.0, 2.0):
+        options = Options(smoothing=smoothing)
+        tables = bayes.class_priors(train, options), bayes.word_likelihoods(train, vocab, options)
+        yield smoothing, bayes.score(test, *tables, "doc_id", "label")
 
 
 def best_step(spark, folder):
     log = RunLog(spark, new_folder(spark, "runs"))
-    for step, smoothing in enumerate((0.5, 1.0, 2.0)):
-        loss = metrics.log_loss(held_out_scores(spark, folder, Options(smoothing=smoothing)))
-        named = loss.withColumn("metric", F.lit("val_loss"))
+    for step, (_, scores) in enumerate(smoothing_scores(spark, folder)):
+        named = metrics.log_loss(scores).withColumn("metric", F.lit("val_loss"))
         log.log_metric_table("smoothing", named, step)
     return rounded(metrics.best_step(log.table("run_metrics")))
 
 
+def compare_smoothings(spark, folder):
+    log = RunLog(spark, new_folder(spark, "runs"))
+    runs = []
+    for smoothing, scores in smoothing_scores(spark, folder):
+        runs.append(f"smoothing_{round(10 * smoothing)}")
+        scores = cut(scores)
+        log.log_metric_table(runs[-1], metrics.weighted_scores(metrics.confusion(scores)))
+        log.log_metric_table(runs[-1], metrics.log_loss(scores))
+    return rounded(compare_runs(log.table("run_metrics"), runs))
+
+
+def by_language(spark, folder):
+    """Documents with one of three labels: English, German or another language."""
+    label = F.when(F.col("lang") == "en", 0).when(F.col("lang") == "de", 1).otherwise(2)
+    docs = R.read_table(spark, folder, "documents").select("doc_id", "text", label.alias("label"))
+    return C.with_clean_text(docs)
+
+
+def nb_three_classes(spark, folder):
+    docs = by_language(spark, folder)
+    train, test = splits.train_validation(docs)
+    scores = bayes.score_classes(test.drop("label"), *fitted_tables(train))
+    return rounded(scores, joint=4)
+
+
+FEW = Options(max_features=20, use_tfidf=False)
+
+
+def few_features(train):
+    """Training vectors of twenty word counts, and the words."""
+    vocab = pipeline.fit_vocabulary(train, FEW)
+    features = pipeline.fit_features(train, FEW, vocab, cleaned=True)
+    return pipeline.placed(pipeline.prepare(features, train, "doc_id"), FEW), vocab.words
+
+
+def word_table(spark, words):
+    return spark.createDataFrame(list(enumerate(words)), "index int, word string")
+
+
+def lr_optimality(spark, folder):
+    """How far the fitted regression is from its optimum, by feature: the derivative of the
+    regularised loss in the feature's weight, in units of its standard deviation."""
+    vectors, words = few_features(train_test(spark, folder)[0])
+    estimator = pipeline.create_classifier("logistic_regression", FEW)
+    model = estimator.fit(vectors)
+    scored = model.transform(vectors)
+    miss = F.get(F.unwrap_udt("probability")["values"], F.lit(1)) - F.col("label")
+    entries = scoring.vector_entries(scored.withColumn("miss", miss), "features", "doc_id", "miss")
+    n = vectors.count()
+    sums = entries.groupBy("index").agg(
+        F.count("*").alias("n_docs"),
+        F.sum(F.col("miss") * F.col("value")).alias("slope"),
+        F.sum("value").alias("total"),
+        F.sum(F.col("value") * F.col("value")).alias("squares"),
+    )
+    weights = spark.createDataFrame(
+        list(enumerate(map(float, model.coefficients.toArray()))), "index int, weight double"
+    )
+    variance = (F.col("squares") - F.col("total") * F.col("total") / n) / (n - 1)
+    slope = F.col("slope") / n + F.lit(estimator.getRegParam()) * variance * F.col("weight")
+    both = sums.join(weights, "index").join(word_table(spark, words), "index")
+    residual = F.round(F.abs(slope) / F.sqrt(variance), 3)
+    return both.select("index", "word", "n_docs", residual.alias("residual"))
+
+
+def forest_stump(spark, folder):
+    """A forest of one tree of depth one, over all rows and features, that tells English texts from
+    others: the best Gini split. Of equal splits the feature with the lower index, then the lower
+    threshold, is taken."""
+    docs = by_language(spark, folder).withColumn("label", F.least("label", F.lit(1)))
+    vectors, words = few_features(splits.train_validation(docs)[0])
+    forest = RandomForestClassifier(
+        numTrees=1, maxDepth=1, maxBins=1024, featureSubsetStrategy="all", bootstrap=False, seed=42
+    )
+    tree = forest.fit(vectors).trees[0].toDebugString
+    feature, threshold = re.search(r"If \(feature (\d+) <= ([\d.E+-]+)\)", tree).groups()
+    chosen = F.lit(int(feature))
+    entries = scoring.vector_entries(vectors, "features", "doc_id").filter(F.col("index") == chosen)
+    rows = vectors.select("doc_id", "label").join(entries, "doc_id", "left")
+    left = F.coalesce("value", F.lit(0.0)) <= float(threshold)
+    cells = [
+        F.count_if((left if side == "left" else ~left) & (F.col("label") == label)).alias(f"{side}_{label}")
+        for side in ("left", "right")
+        for label in (0, 1)
+    ]
+    counts = rows.agg(*cells)
+    return counts.select(
+        F.lit(words[int(feature)]).alias("word"), F.lit(float(threshold)).alias("threshold"), "*"
+    )
+
+
+def training_run(spark, folder):
+    """The parameters that the training job logs after tuning, with unlabelled texts for the words
+    and labels that are not all numbers."""
+    labels = C.with_clean_text(mixed_labels(spark, folder))
+    held_out = splits.is_validation(F.col("doc_id"))
+    unlabelled = clean_documents(spark, folder).join(labels, "doc_id", "left_anti")
+    log = RunLog(spark, new_folder(spark, "runs"))
+    training.train(
+        labels.filter(~held_out), labels.filter(held_out), log, "tuned",
+        unsupervised=unlabelled, tune=True,
+    )
+    return log.table("run_params")
+
+
 def cv_naive_bayes(spark, folder):
     tuned = tuning.cross_validate(R.clean_reviews(spark, folder), "naive_bayes")
     rows = [
@@ -486,9 +657,7 @@ def evaluate_saved_model(spark, folder):
     pipeline.save_model(pipeline.fit_classifier(train), model_path)
     held_out = R.reviews(spark, folder).filter(splits.is_validation(F.col("doc_id")))
     sinks.write_table(held_out.select("text", "label"), test_path)
-    wanted = ("accuracy", "precision", "recall", "f1", "log_loss")
-    values = evaluation.evaluate_saved(spark, model_path, test_path, wanted)
-    return rounded(spark.createDataFrame(list(values.items()), "metric string, value double"))
+    return measured(spark, evaluation.evaluate_saved(spark, model_path, test_path, ALL_METRICS))
 
 
 def stream_scores(spark, folder):
@@ -519,6 +688,9 @@ QUERIES = {
         metrics_accuracy_prf, auc_rank, log_loss, nb_pipeline_scores, lr_scores, rf_scores,
         saved_model_scores, predictions_csv, evaluate_pipeline, best_step, cv_naive_bayes,
         compare_models, batch_udf_scores, sequence_udf_scores, stream_scores,
+        mixed_labels_typed, label_rejects, page_steps, page_classic, page_pipeline_cleaning,
+        clean_blanked, blanked_status, compare_smoothings, nb_three_classes, lr_optimality,
+        forest_stump, training_run,
         nb_bow_scores, nb_tfidf_scores, tfidf_unsupervised_vocabulary, evaluate_saved_model,
     )
 }

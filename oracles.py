@@ -118,12 +118,17 @@ ids AS (
 
 
 def bayes(
-    fits: str, smoothing: str, scored: str, blocks: tuple[str, ...] = ("bow", "tfidf")
+    fits: str,
+    smoothing: str,
+    scored: str,
+    blocks: tuple[str, ...] = ("bow", "tfidf"),
+    more: str = "SELECT 0 AS fit, 0 AS doc_id WHERE false",
 ) -> tuple[str, ...]:
     """Naive Bayes over counts and TF-IDF, for several training sets and smoothings at once.
 
     `fits`: rows (fit, doc_id, label) to train on; `scored`: rows (fit, doc_id) to score;
-    `smoothing`: a VALUES list of (step, smoothing); `blocks`: the features that are used.
+    `smoothing`: a VALUES list of (step, smoothing); `blocks`: the features that are used;
+    `more`: rows (fit, doc_id) whose texts count for the vocabulary alone.
     """
     mass = " + ".join(f"sum({block})" for block in blocks)
     weight = " + ".join({"bow": "theta_bow", "tfidf": "idf * theta_tfidf"}[b] for b in blocks)
@@ -136,10 +141,11 @@ smoothing(step, lam) AS (VALUES {smoothing}),
 doc_terms AS (
   SELECT doc_id, word, count(*) AS tf FROM doc_words WHERE {kept()} GROUP BY ALL
 ),
-fit_size AS (SELECT fit, count(*) AS n FROM fits GROUP BY fit),
+vocab_texts AS (SELECT fit, doc_id FROM fits UNION ALL {more}),
+fit_size AS (SELECT fit, count(*) AS n FROM vocab_texts GROUP BY fit),
 fit_counts AS (
   SELECT fit, word, sum(tf) AS total_count, count(*) AS doc_freq
-  FROM fits JOIN doc_terms USING (doc_id) GROUP BY ALL
+  FROM vocab_texts JOIN doc_terms USING (doc_id) GROUP BY ALL
 ),
 fit_vocab AS (
   SELECT c.fit, c.word, c.doc_freq, ln((n + 1) / CAST(doc_freq + 1 AS DOUBLE)) AS idf,
@@ -257,6 +263,63 @@ auc AS (
               / (count(*) FILTER (label = 1) * count(*) FILTER (label = 0)) AS DOUBLE) AS value
   FROM ranked
 )"""
+JOINT = """
+joint AS (
+  SELECT s.doc_id, p.label, p.log_prior + coalesce(sum(t.tf * (h.theta_bow + h.idf * h.theta_tfidf)), 0)
+           AS joint
+  FROM scored s JOIN priors p ON p.fit = s.fit
+  LEFT JOIN doc_terms t ON t.doc_id = s.doc_id
+  LEFT JOIN theta h ON h.fit = s.fit AND h.word = t.word AND h.label = p.label
+  GROUP BY s.doc_id, p.label, p.log_prior
+)"""
+
+
+def auc_of(metric: str, source: str) -> str:
+    """Area under ROC from mean ranks of (label, m)."""
+    ones = "count(*) FILTER (label = 1)"
+    return f"""
+{metric} AS (
+  SELECT '{metric}' AS metric,
+         CAST((sum(r) FILTER (label = 1) - {ones} * ({ones} + 1) / 2.0)
+              / ({ones} * count(*) FILTER (label = 0)) AS DOUBLE) AS value
+  FROM (SELECT label, rank() OVER (ORDER BY m) + (count(*) OVER (PARTITION BY m) - 1) / 2.0 AS r
+        FROM ({source}))
+)"""
+
+
+EVALUATED = (
+    *HELD_OUT_BAYES,
+    CONFUSION,
+    WEIGHTED,
+    JOINT,
+    auc_of("auc", "SELECT label, probability_positive AS m FROM scores"),
+    auc_of(
+        "auc_raw",
+        "SELECT s.label, joint AS m FROM scores s JOIN joint j ON j.doc_id = s.doc_id AND j.label = 1",
+    ),
+)
+ALL_VALUES = """
+SELECT metric, round(value, 4) AS value FROM (
+  SELECT * FROM weighted UNION ALL SELECT * FROM auc UNION ALL SELECT * FROM auc_raw
+  UNION ALL SELECT metric, value FROM loss)"""
+MIXED = """
+mixed AS (
+  SELECT d.doc_id, d.text, TRY_CAST(CASE WHEN d.doc_id % 10 = 3 THEN d.source
+                                         ELSE CAST(l.quality AS VARCHAR) END AS INTEGER) AS label
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+)"""
+MIXED_FIT = f"""SELECT CAST(f AS INTEGER) AS fit, doc_id, label FROM mixed JOIN clean_documents USING (doc_id), range(5) r(f)
+WHERE label IS NOT NULL AND {bucket(42, 100)} >= 20 AND {bucket(42, 5)} <> f"""
+UNLABELLED = "doc_id FROM clean_documents WHERE doc_id NOT IN (SELECT doc_id FROM mixed)"
+LANGUAGE = f"""SELECT 0 AS fit, doc_id,
+  CASE lang WHEN 'en' THEN 0 WHEN 'de' THEN 1 ELSE 2 END AS label
+FROM clean_documents JOIN (SELECT doc_id, lang FROM documents) USING (doc_id)"""
+FEW = f"""
+top AS (SELECT word, place FROM fit_vocab WHERE place <= 20),
+feats AS (
+  SELECT f.doc_id, f.label, v.word, v.place, coalesce(t.tf, 0) AS x
+  FROM fits f CROSS JOIN top v LEFT JOIN doc_terms t ON t.doc_id = f.doc_id AND t.word = v.word
+)"""
 LOSS = """
 loss AS (
   SELECT step, 'log_loss' AS metric, avg(-ln(greatest(1e-15,
@@ -466,10 +529,130 @@ FROM confusion GROUP BY label""",
     "log_loss": query(
         "SELECT metric, round(value, 6) AS value FROM loss", *HELD_OUT_BAYES, LOSS
     ),
-    "evaluate_pipeline": query(
-        """SELECT metric, round(value, 6) AS value FROM weighted
-UNION ALL SELECT metric, round(value, 6) FROM auc""",
-        *HELD_OUT_BAYES, CONFUSION, WEIGHTED, AUC,
+    "evaluate_pipeline": query(ALL_VALUES, *EVALUATED, LOSS),
+    "evaluate_saved_model": query(ALL_VALUES, *EVALUATED, LOSS),
+    # rows that are rejected, blank or tagged
+    "mixed_labels_typed": query("SELECT doc_id, label FROM mixed", MIXED),
+    "label_rejects": query(
+        "SELECT CAST(count(*) AS BIGINT) AS rejected FROM mixed WHERE label IS NULL", MIXED
+    ),
+    "page_steps": f"""
+SELECT page_id, trim(html) AS trimmed,
+       regexp_replace(html, '<br{SPACE}*/?>', ' ', 'g') AS without_breaks,
+       regexp_replace(html, '[^\\w\\s\\x0B]', ' ', 'g') AS without_punctuation,
+       regexp_replace(html, '{SPACE}+', ' ', 'g') AS collapsed
+FROM pages""",
+    "page_classic": f"""
+SELECT * FROM (SELECT page_id, {classic("html")} AS text FROM pages) WHERE text <> ''""",
+    "page_pipeline_cleaning": f"SELECT page_id, {classic('html')} AS text FROM pages",
+    "clean_blanked": f"""
+SELECT * FROM (SELECT doc_id, {classic("text")} AS text FROM (
+  SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN regexp_replace(text, '\\w+', '.', 'g') ELSE text END
+           AS text FROM documents)) WHERE text <> ''""",
+    "blanked_status": f"""
+SELECT doc_id, CASE WHEN regexp_replace(text, '^{WIDE_SPACE}+', '') = '' THEN 'empty' ELSE 'ok' END
+  AS status
+FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN regexp_replace(text, '[^\\x20\\n]', '', 'g')
+                          ELSE text END AS text FROM documents)""",
+    # more fits
+    "compare_smoothings": query(
+        """SELECT metric, round(a, 6) AS smoothing_5, round(b, 6) AS smoothing_10,
+  round(c, 6) AS smoothing_20, round(b - a, 6) AS smoothing_10_delta,
+  round(c - a, 6) AS smoothing_20_delta
+FROM (SELECT metric, max(value) FILTER (step = 0) AS a, max(value) FILTER (step = 1) AS b,
+             max(value) FILTER (step = 2) AS c FROM step_values GROUP BY metric)""",
+        *bayes(TRAIN, THREE, HELD_OUT), LOSS, """
+cells AS (
+  SELECT step, label, prediction, count(*) AS n FROM scores GROUP BY ALL
+),
+sides AS (
+  SELECT step, label, sum(n) AS actual, coalesce(sum(n) FILTER (label = prediction), 0) AS hits,
+         (SELECT coalesce(sum(n), 0) FROM cells p
+          WHERE p.step = cells.step AND p.prediction = cells.label) AS predicted
+  FROM cells GROUP BY step, label
+),
+step_rates AS (
+  SELECT step, actual / sum(actual) OVER (PARTITION BY step) AS share, hits / actual AS r,
+         CASE WHEN predicted = 0 THEN 0 ELSE hits / predicted END AS p,
+         2 * hits / (actual + predicted) AS f
+  FROM sides
+),
+step_values AS (
+  SELECT step, 'accuracy' AS metric, sum(share * r) AS value FROM step_rates GROUP BY step
+  UNION ALL SELECT step, 'precision', sum(share * p) FROM step_rates GROUP BY step
+  UNION ALL SELECT step, 'recall', sum(share * r) FROM step_rates GROUP BY step
+  UNION ALL SELECT step, 'f1', sum(share * f) FROM step_rates GROUP BY step
+  UNION ALL SELECT step, metric, value FROM loss
+)""",
+    ),
+    "nb_three_classes": query(
+        """SELECT doc_id, label, round(joint, 4) AS joint,
+  round(exp(joint - top) / sum(exp(joint - top)) OVER (PARTITION BY doc_id), 6) AS probability
+FROM (SELECT *, max(joint) OVER (PARTITION BY doc_id) AS top FROM joint)""",
+        *bayes(f"{LANGUAGE} WHERE {bucket(42, 100)} >= 20", ONE,
+               f"SELECT 0 AS fit, doc_id FROM clean_documents WHERE {bucket(42, 100)} < 20"),
+        JOINT,
+    ),
+    "lr_optimality": query(
+        """SELECT CAST(place - 1 AS INTEGER) AS index, word, CAST(count(*) AS BIGINT) AS n_docs,
+  CAST(0 AS DOUBLE) AS residual
+FROM feats WHERE x > 0 GROUP BY place, word""",
+        *HELD_OUT_BAYES, FEW,
+    ),
+    "forest_stump": query(
+        """SELECT word, threshold, CAST(l0 AS BIGINT) AS left_0, CAST(l1 AS BIGINT) AS left_1,
+  CAST(n0 - l0 AS BIGINT) AS right_0, CAST(n1 - l1 AS BIGINT) AS right_1
+FROM (SELECT *, (l0 * l0 + l1 * l1) / CAST(l0 + l1 AS DOUBLE)
+                + ((n0 - l0) * (n0 - l0) + (n1 - l1) * (n1 - l1)) / CAST(n0 + n1 - l0 - l1 AS DOUBLE)
+                AS purity FROM cuts)
+ORDER BY round(purity, 9) DESC, place, threshold LIMIT 1""",
+        *bayes(f"SELECT fit, doc_id, least(label, 1) AS label FROM ({LANGUAGE} WHERE {bucket(42, 100)} >= 20)",
+               ONE, HELD_OUT),
+        FEW, """
+steps AS (
+  SELECT place, word, (x + following) / 2.0 AS threshold FROM (
+    SELECT place, word, x, lead(x) OVER (PARTITION BY place ORDER BY x) AS following
+    FROM (SELECT DISTINCT place, word, x FROM feats)) WHERE following IS NOT NULL
+),
+cuts AS (
+  SELECT s.place, s.word, s.threshold, count(*) FILTER (label = 0) AS n0,
+         count(*) FILTER (label = 1) AS n1, count(*) FILTER (label = 0 AND x <= threshold) AS l0,
+         count(*) FILTER (label = 1 AND x <= threshold) AS l1
+  FROM steps s JOIN feats f ON f.place = s.place GROUP BY ALL
+)""",
+    ),
+    "training_run": query(
+        f"""SELECT 'tuned' AS run_id, key, value FROM (
+  SELECT 'algorithm' AS key, 'naive_bayes' AS value
+  UNION ALL SELECT 'features_used', 'bow_tfidf'
+  UNION ALL SELECT 'cv_folds', '5'
+  UNION ALL SELECT 'train_samples', CAST(count(*) AS VARCHAR) FROM usable
+    WHERE label IS NOT NULL AND NOT held_out
+  UNION ALL SELECT 'train_rejected', CAST(count(*) AS VARCHAR) FROM usable
+    WHERE label IS NULL AND NOT held_out
+  UNION ALL SELECT 'test_rejected', CAST(count(*) AS VARCHAR) FROM usable
+    WHERE label IS NULL AND held_out
+  UNION ALL SELECT 'features', CAST(2 * count(*) AS VARCHAR) FROM fit_vocab WHERE fit = 5
+  UNION ALL (SELECT 'best_smoothing', CAST(lam AS VARCHAR) FROM (
+    SELECT step, avg(accuracy) AS mean FROM (
+      SELECT step, fit, avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END) AS accuracy
+      FROM (SELECT s.step, s.fit, s.prediction, m.label FROM scores s JOIN mixed m ON m.doc_id = s.doc_id)
+      GROUP BY ALL) GROUP BY step) JOIN smoothing USING (step)
+    ORDER BY round(mean, 9) DESC, step LIMIT 1))""",
+        MIXED,
+        *bayes(
+            f"{MIXED_FIT} UNION ALL SELECT 5, doc_id, label FROM mixed JOIN clean_documents USING (doc_id) "
+            f"WHERE label IS NOT NULL AND {bucket(42, 100)} >= 20",
+            THREE,
+            f"SELECT CAST({bucket(42, 5)} AS INTEGER) AS fit, doc_id FROM mixed "
+            f"WHERE label IS NOT NULL AND {bucket(42, 100)} >= 20",
+            more=f"SELECT CAST(f AS INTEGER), {UNLABELLED.replace('FROM clean_documents', 'FROM clean_documents, range(6) r(f)')}",
+        ),
+        f"""
+usable AS (
+  SELECT doc_id, label, {bucket(42, 100)} < 20 AS held_out
+  FROM (SELECT m.doc_id, m.label FROM mixed m JOIN clean_documents c ON c.doc_id = m.doc_id)
+)""",
     ),
     "best_step": query(
         """SELECT 'smoothing' AS run_id, CAST(step AS INTEGER) AS step, 'val_loss' AS key,
@@ -509,11 +692,6 @@ ORACLES["sequence_udf_scores"] = query(
     GROUP BY d.doc_id))""",
     *bayes(TRAIN, ONE, ALL_DOCS, ("bow",)),
 )
-ORACLES["evaluate_saved_model"] = query(
-    """SELECT metric, round(value, 6) AS value FROM weighted
-UNION ALL SELECT metric, round(value, 6) FROM loss""",
-    *HELD_OUT_BAYES, CONFUSION, WEIGHTED, LOSS,
-)
 ORACLES["predictions_csv"] = query(
     f"SELECT d.doc_id, d.text, {SCORE_COLUMNS} FROM scores s JOIN documents d ON s.doc_id = d.doc_id",
     *DOCUMENT_BAYES,

@@ -60,7 +60,7 @@ def test_feature_switches(train, bow, weighted, info, blocks):
 
 
 def test_no_features_is_an_error():
-    with pytest.raises(ValueError, match="No features"):
+    with pytest.raises(ValueError, match="feature blocks"):
         pipeline.feature_stages(Options(use_bow=False, use_tfidf=False))
 
 
@@ -97,6 +97,27 @@ def test_closed_form_bayes_is_the_ml_model(train, options):
     assert rounded(table, 6) == rounded(scored, 6)
 
 
+def test_closed_form_of_three_classes_is_the_ml_model(train):
+    three = train.withColumn("label", (F.col("doc_id") % 3).cast("int"))
+    vocab = tfidf.feature_vocabulary(three)
+    priors, weights = bayes.class_priors(three), bayes.word_likelihoods(three, vocab)
+    assert priors.count() == 3 and weights.select("label").distinct().count() == 3
+    model = pipeline.fit_classifier(three, "naive_bayes")
+    scored = scoring.score_table(model, three, "doc_id").collect()
+    want = {(r.doc_id, k): round(r[f"probability_{k}"], 6) for r in scored for k in range(3)}
+    table = bayes.score_classes(three.drop("label"), priors, weights)
+    assert {(r.doc_id, r.label): round(r.probability, 6) for r in table.collect()} == want
+    with pytest.raises(Exception, match="labels 0 and 1"):
+        bayes.score(three, priors, weights).collect()
+
+
+def test_shares_that_are_no_whole_percents(spark):
+    many = spark.range(50_000).select(F.col("id").alias("doc_id"))
+    for share in (0.125, 0.004):
+        held_out = splits.train_validation(many, Options(test_size=share))[1].count()
+        assert abs(held_out / 50_000 - share) < 0.005 and held_out > 0
+
+
 def test_text_without_known_words_is_scored_by_the_priors(spark, train):
     vocab = tfidf.feature_vocabulary(train)
     priors, weights = bayes.class_priors(train), bayes.word_likelihoods(train, vocab)

@@ -76,6 +76,18 @@ def test_confusion_wide_fills_missing_cells(spark):
     assert got == {(0, 0, 1), (1, 0, 2)}
 
 
+def test_confusion_of_three_classes(spark):
+    pairs = [(0, 0), (1, 2), (2, 2), (2, 1)]
+    counts = metrics.confusion(spark.createDataFrame(pairs, "label int, prediction int"))
+    wide = metrics.confusion_wide(counts)
+    assert wide.columns == ["label", "predicted_0", "predicted_1", "predicted_2"]
+    assert {tuple(r) for r in wide.collect()} == {(0, 1, 0, 0), (1, 0, 0, 1), (2, 0, 1, 1)}
+
+
+def test_a_run_table_nobody_wrote_to(spark, tmp_path):
+    assert RunLog(spark, str(tmp_path / "none")).table("run_metrics").count() == 0
+
+
 def test_a_class_that_is_never_predicted_has_no_precision(spark):
     got = values(metrics.weighted_scores(metrics.confusion(predictions(spark, [(1, .9), (0, .9)]))))
     assert got == {"accuracy": 0.5, "precision": 0.25, "recall": 0.5, "f1": 1 / 3}

@@ -24,7 +24,7 @@ def test_classifier_by_name(spark):
     forest = pipeline.create_classifier("random_forest")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (100, 10, 42)
     assert pipeline.create_classifier(options=Options(algorithm="random_forest")).getNumTrees()
-    with pytest.raises(ValueError, match="Unsupported algorithm: none"):
+    with pytest.raises(ValueError, match="no classifier 'none'"):
         pipeline.create_classifier("none")
 
 
@@ -61,7 +61,7 @@ def test_raw_and_cleaned_text_score_alike(spark, nb_model, train, folder):
 def test_one_text(spark, nb_model):
     row = scoring.score_text(nb_model, spark, "The <br/> film!")
     assert math.isclose(row.probability_negative + row.probability_positive, 1.0)
-    with pytest.raises(ValueError, match="provide some text"):
+    with pytest.raises(ValueError, match="blank"):
         scoring.score_text(nb_model, spark, "  \n")
 
 
@@ -121,7 +121,10 @@ def test_training_run_writes_its_rows(spark, train, tmp_path):
     assert params == {
         "algorithm": "naive_bayes",
         "train_samples": str(a.count()),
+        "train_rejected": "0",
+        "test_rejected": "0",
         "features_used": "bow_tfidf",
+        "features": "400",
     }
     assert log.table("run_metrics").count() == 5
 
@@ -157,8 +160,11 @@ def test_training_from_files(spark, train, folder, tmp_path):
     assert list(alone.words) != model.stages[1].vocabulary
 
     training.train_from_files(
-        spark, str(tmp_path / "job"), "tuned", *paths[:2], options=options, tune=True
+        spark, str(tmp_path / "job"), "tuned", *paths, options=options, tune=True
     )
+    tuned = pipeline.load_model(spark, f"{tmp_path}/job/models/tuned")
+    # With unlabelled texts too, tuned or not, the words are the same.
+    assert tuned.stages[1].vocabulary == loaded.stages[1].vocabulary
     params = {r.key: r.value for r in log.table("run_params").filter("run_id = 'tuned'").collect()}
     assert params["cv_folds"] == "2" and "best_smoothing" in params
     keys = {r.key for r in log.table("run_metrics").filter("run_id = 'tuned'").collect()}
@@ -246,7 +252,75 @@ def test_scoring_is_one_narrow_job(spark, nb_model, folder):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_small_stored_tables_are_read_by_few_tasks(spark):
-    table = spark.range(0, 5_000, 1, 8)
-    assert pipeline.few_rows_together(table).rdd.getNumPartitions() == 3
-    assert pipeline.few_rows_together(table, 100) is table
+@pytest.mark.parametrize("algorithm", ["random_forest", "logistic_regression"])
+def test_fits_do_not_depend_on_input_partitions(train, algorithm):
+    vocab = pipeline.fit_vocabulary(train, SMALL)
+    scores = [
+        rows(
+            scoring.score_table(
+                pipeline.fit_classifier(train.repartition(n), algorithm, SMALL, vocab), train, "doc_id"
+            )
+        )
+        for n in (1, 3, 7)
+    ]
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_a_forest_learns_and_scores(train):
+    model = pipeline.fit_classifier(train, "random_forest", SMALL)
+    values = evaluation.evaluate(model, train, ("accuracy", "auc"))
+    share = train.filter("label = 1").count() / train.count()
+    assert values["accuracy"] >= share and values["auc"] > 0.9
+
+
+def test_fits_read_clean_text_as_it_is(train):
+    vocab = pipeline.fit_vocabulary(train, SMALL)
+    for cleaned, times in ((True, 0), (False, 1)):
+        features = pipeline.fit_features(train, SMALL, vocab, cleaned)
+        plan = pipeline.prepare(features, train)._jdf.queryExecution().optimizedPlan().toString()
+        assert ("regexp_replace" in plan) == bool(times)
+
+
+def test_null_labels_are_left_out_of_fits_and_folds(spark, train):
+    odd = spark.createDataFrame([(-1, "some text", None)], train.schema)
+    options = Options(max_features=100, cv_folds=2)
+    with_odd = train.unionByName(odd)
+    a = tuning.cross_validate(train, "naive_bayes", options)
+    b = tuning.cross_validate(with_odd, "naive_bayes", options)
+    assert a.averages == b.averages
+    assert pipeline.fit_classifier(with_odd, "naive_bayes", options)
+
+
+def test_rejected_rows_are_counted(spark, train, tmp_path):
+    odd = spark.createDataFrame([(-1, "some text", None), (-2, "more", None)], train.schema)
+    log = RunLog(spark, str(tmp_path))
+    training.train(train.unionByName(odd), train.unionByName(odd.limit(1)), log, "r", options=SMALL)
+    params = {r.key: r.value for r in log.table("run_params").collect()}
+    assert (params["train_rejected"], params["test_rejected"]) == ("2", "1")
+    assert params["train_samples"] == str(train.count())
+
+
+def test_probabilities_of_three_classes(spark, train):
+    three = train.withColumn("label", (F.col("doc_id") % 3).cast("int"))
+    model = pipeline.fit_classifier(three, "naive_bayes", SMALL)
+    scored = scoring.score_table(model, three, "doc_id")
+    assert scored.columns[2:] == ["probability_0", "probability_1", "probability_2"]
+    assert all(math.isclose(sum(r[2:]), 1.0) for r in scored.collect())
+
+
+def test_linear_logits_of_empty_dense_and_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+
+    vectors = [Vectors.sparse(3, [], []), Vectors.sparse(3, [2], [4.0]), Vectors.dense([1, 2, 3])]
+    df = spark.createDataFrame(list(enumerate(vectors)), ["k", "features"]).repartition(1)
+    weights, bias = np.arange(6.0).reshape(3, 2), np.array([0.5, -0.5])
+    got = df.select("k", scoring.linear_logits(F.col("features"), weights, bias).alias("x")).collect()
+    assert {r.k: r.x for r in got} == {
+        k: (v.toArray() @ weights + bias).tolist() for k, v in enumerate(vectors)
+    }
+
+
+def test_a_third_logit_is_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "logits array<double>")
+    with pytest.raises(Exception, match="two logits"):
+        scoring.with_softmax(df, "logits").collect()

@@ -56,12 +56,25 @@ def test_id_vocabulary_and_sequences(spark):
 
 
 @pytest.mark.parametrize("head_rows", [1, 50])
-def test_a_vocabulary_too_large_to_broadcast_gives_the_same_ids(
-    spark, folder, monkeypatch, head_rows
-):
+def test_the_size_of_the_head_does_not_change_the_ids(spark, folder, head_rows):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     vocab = sequences.id_vocabulary(docs)
-    monkeypatch.setattr(sequences, "HEAD_ROWS", head_rows)
-    small = sequences.id_sequences(docs, vocab)
-    large = sequences.id_sequences(docs, vocab, broadcast_bytes=0)
-    assert rows(small) == rows(large)
+    assert rows(sequences.id_sequences(docs, vocab)) == rows(
+        sequences.id_sequences(docs, vocab, head_rows=head_rows)
+    )
+
+
+def test_a_hot_unknown_word_is_settled_before_the_shuffle(spark):
+    hot = F.when(F.col("id") % 3 == 0, F.lit("unknown")).otherwise(F.col("id").cast("string"))
+    words = spark.range(9_000).select(hot.alias("word"))
+    vocab = spark.range(9_000).select(
+        F.col("id").cast("string").alias("word"), F.col("id").cast("int").alias("word_id")
+    )
+    got = sequences.with_word_ids(words, vocab, head_rows=5)
+    assert got.filter("word = 'unknown'").select("word_id").distinct().collect() == [(1,)]
+    assert got.count() == 9_000
+    # The rows that meet the whole vocabulary: no word has many of them.
+    head = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(5)
+    rest = words.join(head, "word", "left_anti").repartition(8, "word")
+    sizes = rest.groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in sizes) < 2 * 6_000 / 8

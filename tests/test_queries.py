@@ -3,9 +3,8 @@ import pytest
 from check_queries import TABLES, compare
 
 import __spark_entry__ as registry
-
-# Fits whose outcome has no SQL form; the check driver runs them, and test_models covers them.
-SLOW = ("lr_scores", "rf_scores", "compare_models")
+from oracles import ORACLES
+from wordloom.functions.words import STOPWORDS
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +15,7 @@ def db(folder):
     return connection
 
 
-@pytest.mark.parametrize("name", [n for n in registry.queries() if n not in SLOW])
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_its_sql(spark, folder, db, name):
     got = registry.queries()[name](spark, folder).toArrow()
     verdict = compare(got, db, registry.oracle_sql()[name])
@@ -30,3 +29,33 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert registry.entry(spark).columns == ["word", "total_count", "doc_freq"]
+
+
+def test_rows_are_dropped_rejected_and_blank(spark, folder):
+    queries = registry.queries()
+    assert queries["label_rejects"](spark, folder).first().rejected > 0
+    assert queries["mixed_labels_typed"](spark, folder).filter("label IS NULL").count() > 0
+    assert queries["clean_blanked"](spark, folder).count() < registry.raw_documents(spark, folder).count()
+    status = {r.status for r in queries["blanked_status"](spark, folder).collect()}
+    assert status == {"ok", "empty"}
+    steps = queries["page_steps"](spark, folder)
+    assert steps.filter("without_breaks <> trimmed").count() == steps.count() > 0
+
+
+def test_best_step_prepares_the_texts_once(spark, folder, monkeypatch):
+    calls = []
+    prepare = registry.train_test
+    monkeypatch.setattr(registry, "train_test", lambda *a: calls.append(a) or prepare(*a))
+    registry.best_step(spark, folder)
+    assert len(calls) == 1
+
+
+@pytest.mark.parametrize("name", ["count_join_df", "nb_priors"])
+def test_one_scan(spark, folder, name):
+    plan = registry.queries()[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_stopwords_are_the_fixed_list():
+    assert len(STOPWORDS) == len(set(STOPWORDS)) == 44
+    assert {"the", "and", "of", "is"} <= set(STOPWORDS)

@@ -1,7 +1,9 @@
+from pathlib import Path
+
 import pytest
 from conftest import rows
 
-from wordloom.session import shared_folder, spread
+from wordloom.session import cut, new_folder, shared_folder, temporary_tables
 from wordloom.sources import reviews as R
 from wordloom.sources import sinks, stages
 
@@ -87,10 +89,68 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-def test_spread_leaves_inputs_with_enough_splits_alone(spark):
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many, "id") is many
-    assert spread(spark.range(0, 100, 1, 1), "id").rdd.getNumPartitions() == 4
+def test_scans_are_read_as_they_are(spark, folder):
+    plan = R.documents(spark, folder)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize("name", ["word_count", "tfidf", "nb_pipeline_scores"])
+def test_registered_queries_do_not_shuffle_whole_texts(spark, folder, name):
+    import __spark_entry__ as registry
+
+    plan = registry.queries()[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+    assert "REPARTITION" not in plan.upper()
+
+
+def test_empty_stage_tables_are_read_back(spark, tmp_path):
+    df = spark.createDataFrame([], "doc_id long, text string, label int, split string")
+    assert stages.write_prepared(df, str(tmp_path / "p")).count() == 0
+    assert stages.read_prepared(spark, str(tmp_path / "p"), "train").count() == 0
+    assert stages.write_features(df, str(tmp_path / "f")).columns == df.columns
+
+
+def test_files_without_line_breaks_in_fields_can_split(spark, tmp_path):
+    path = write(tmp_path, "big.csv", "text,label\n" + "some words of a text,1\n" * 20_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert R.read_csv(spark, path).rdd.getNumPartitions() == 1
+        split = R.read_csv(spark, path, multi_line=False)
+        assert split.rdd.getNumPartitions() > 1 and split.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_tables_of_a_job_are_deleted_at_its_end(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    with temporary_tables(spark) as folder:
+        spark.range(3).write.parquet(new_folder(spark, "t"))
+        assert cut(spark.range(5)).count() == 5
+        assert list(Path(folder).iterdir())
+    assert not Path(folder).exists()
+    assert (spark.sparkContext.getCheckpointDir() is None) == (before is None)
+    assert cut(spark.range(5)).count() == 5
+
+
+class OnACluster:
+    def __init__(self, conf):
+        self.conf = self
+        self.values = conf
+        self.sparkContext = self
+        self.master = "spark://host:7077"
+
+    def get(self, key, default=None):
+        return self.values.get(key, default)
+
+    def getCheckpointDir(self):
+        return "set"
+
+
+def test_a_cluster_needs_a_folder_that_machines_share():
+    with pytest.raises(ValueError, match="own disk"):
+        shared_folder(OnACluster({"spark.checkpoint.dir": "file:///tmp/x"}))
+    mounted = {"spark.checkpoint.dir": "file:///mnt/x", "spark.wordloom.sharedMount": "true"}
+    assert shared_folder(OnACluster(mounted)) == "file:///mnt/x"
+    assert shared_folder(OnACluster({"spark.checkpoint.dir": "hdfs:///x"})) == "hdfs:///x"
 
 
 def test_labels_prune_documents_columns(spark, folder):

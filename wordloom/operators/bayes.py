@@ -13,29 +13,35 @@ from pyspark.sql.window import Window
 from wordloom.functions.words import split_clean_words
 from wordloom.options import Options
 
+MOST_CLASSES = 1_000
+
 
 def class_priors(docs: DataFrame, options: Options = Options()) -> DataFrame:
     """(label, n_docs, log_prior), one row per class."""
     with_label = docs.filter(F.col("label").isNotNull())
     counts = with_label.groupBy("label").agg(F.count("*").alias("n_docs"))
-    whole = counts.agg(
-        F.struct(F.sum("n_docs").alias("docs"), F.count("*").alias("classes"))
-    ).scalar()
+    # One row per class, so a window over all of them is small.
+    whole = Window.partitionBy()
+    docs_in_all, classes = F.sum("n_docs").over(whole), F.count("*").over(whole)
     smoothed = (F.col("n_docs") + options.smoothing) / (
-        whole["docs"] + whole["classes"] * F.lit(options.smoothing)
+        docs_in_all + classes * F.lit(options.smoothing)
     )
     return counts.select("label", "n_docs", F.log(smoothed).alias("log_prior"))
 
 
 def word_likelihoods(
-    docs: DataFrame, vocab: DataFrame, options: Options = Options(), classes=(0, 1)
+    docs: DataFrame, vocab: DataFrame, options: Options = Options(), classes=None
 ) -> DataFrame:
     """(word, label, idf, theta_bow, theta_tfidf): log-likelihood weights, all words x classes.
 
+    The classes are those of the labels, read by a job of its own unless they are given.
+
     One scan, one shuffle on the word; counts per class are columns until the table is bounded
     by the vocabulary, so no class becomes a single group. A word's TF-IDF mass is its count
     times its IDF, so plain words are enough and nothing is counted per text.
     """
+    if classes is None:
+        classes = label_classes(docs)
     words = _words(docs, "label").join(F.broadcast(vocab.select("word")), "word")
     sums = [
         F.count_if(F.col("label") == label).cast("double").alias(f"n_{i}")
@@ -74,11 +80,50 @@ def word_likelihoods(
     return by_class.select("word", "label", "idf", *thetas)
 
 
+def label_classes(docs: DataFrame) -> list[int]:
+    """The labels in order. More than `MOST_CLASSES` are refused: each becomes a column."""
+    found = docs.filter(F.col("label").isNotNull()).select("label").distinct()
+    labels = [row.label for row in found.limit(MOST_CLASSES + 1).collect()]
+    if len(labels) > MOST_CLASSES:
+        raise ValueError(f"more than {MOST_CLASSES} classes")
+    return sorted(labels)
+
+
+def score_classes(docs: DataFrame, priors: DataFrame, likelihoods: DataFrame, *keys: str):
+    """(keys, label, joint, probability) per cleaned text and class, for any number of classes.
+
+    `joint` is the log of prior times likelihood. The weights (vocabulary x classes) are broadcast;
+    one partly summed row per text is shuffled, with the classes as an array.
+    """
+    keys = keys or ("doc_id",)
+    classes = [r.label for r in priors.select("label").orderBy("label").limit(MOST_CLASSES).collect()]
+    weight = F.col("theta_bow") + F.col("theta_tfidf") * F.col("idf")
+    wide = likelihoods.groupBy("word").agg(
+        *[F.sum(F.when(F.col("label") == c, weight)).alias(f"w{k}") for k, c in enumerate(classes)]
+    )
+    words = _words(docs, *keys).join(F.broadcast(wide), "word", "left")
+    sums = words.groupBy(*keys).agg(
+        *[F.sum(F.coalesce(F.col(f"w{k}"), F.lit(0.0))).alias(f"w{k}") for k in range(len(classes))]
+    )
+    pairs = [F.struct(F.lit(c).alias("label"), F.col(f"w{k}").alias("sum")) for k, c in enumerate(classes)]
+    listed = sums.select(*keys, F.inline(F.array(*pairs)))
+    joined = listed.join(F.broadcast(priors.select("label", "log_prior")), "label")
+    joint = joined.select(*keys, "label", (F.col("sum") + F.col("log_prior")).alias("joint"))
+    # As many rows per text as there are classes.
+    text = Window.partitionBy(*keys)
+    best = F.max("joint").over(text)
+    share = F.exp(F.col("joint") - F.col("best"))
+    both = joint.withColumn("best", best).withColumn("share", share)
+    probability = F.col("share") / F.sum("share").over(text)
+    return both.select(*keys, "label", "joint", probability.alias("probability"))
+
+
 def score(docs: DataFrame, priors: DataFrame, likelihoods: DataFrame, *keys: str) -> DataFrame:
     """(keys, prediction, margin, probability_negative, probability_positive) per cleaned text.
 
     The weights (vocabulary x 2 classes) are broadcast, so only one partly summed row per text
-    is shuffled. A text without a known word keeps its row and is scored by the priors.
+    is shuffled. A text without a known word keeps its row and is scored by the priors. Labels
+    other than 0 and 1 in the tables are an error: `score_classes` takes any.
     """
     keys = keys or ("doc_id",)
     wide = likelihoods.groupBy("word", "idf").agg(
@@ -108,4 +153,9 @@ def _words(docs: DataFrame, *keys: str) -> DataFrame:
 
 
 def _signed(column: str):
-    return F.when(F.col("label") == 1, F.col(column)).otherwise(-F.col(column))
+    other = F.raise_error(F.lit("a two-class score needs labels 0 and 1"))
+    return (
+        F.when(F.col("label") == 1, F.col(column))
+        .when(F.col("label") == 0, -F.col(column))
+        .otherwise(other.cast("double"))
+    )

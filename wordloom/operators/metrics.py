@@ -19,11 +19,17 @@ def confusion(predictions: DataFrame) -> DataFrame:
     return predictions.groupBy(pair[0], pair[1].alias("prediction")).agg(F.count("*").alias("n"))
 
 
-def confusion_wide(counts: DataFrame, classes=(0, 1)) -> DataFrame:
-    """One row per label, one column per predicted class."""
+def confusion_wide(counts: DataFrame, classes=None) -> DataFrame:
+    """One row per label, one column per class: 0, 1 and all others among labels and predictions.
+
+    `counts` has classes squared rows at most; its class names are read first.
+    """
+    if classes is None:
+        seen = counts.select(F.explode(F.array("label", "prediction")).alias("c")).distinct()
+        classes = sorted({0, 1} | {row.c for row in seen.collect() if row.c is not None})
     wide = counts.groupBy("label").pivot("prediction", list(classes)).agg(F.sum("n"))
     named = [F.coalesce(str(c), F.lit(0)).cast("bigint").alias(f"predicted_{c}") for c in classes]
-    return wide.select("label", *[c for c in named])
+    return wide.select("label", *named)
 
 
 def weighted_scores(counts: DataFrame) -> DataFrame:

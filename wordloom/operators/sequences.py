@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from wordloom.functions.words import split_clean_words
 from wordloom.operators.ordering import with_rank
 from wordloom.options import Options
+from wordloom.session import cut
 
 # The reserved words and their ids.
 RESERVED = {"<PAD>": 0, "<UNK>": 1, "<START>": 2, "<END>": 3}
 
-BROADCAST_BYTES = 64 << 20
 HEAD_ROWS = 100_000
 HEAD_WORD_BYTES = 256
 
@@ -28,6 +28,7 @@ def id_vocabulary(docs: DataFrame, min_freq: int = 2) -> DataFrame:
         F.count("*").alias("total_count")
     )
     ranked = with_rank(counts.filter(F.col("total_count") >= min_freq), "word")
+    # 32 bits, as models take them; more words than that raise an error.
     number = (F.col("rank") + len(RESERVED)).cast("int").alias("word_id")
     return reserved_words(docs.sparkSession).unionByName(
         ranked.select("word", number, "total_count")
@@ -46,37 +47,38 @@ def reserved_words(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*entries)))
 
 
-def with_word_ids(words: DataFrame, vocab: DataFrame, broadcast_bytes: int = BROADCAST_BYTES):
+def with_word_ids(words: DataFrame, vocab: DataFrame, head_rows: int = HEAD_ROWS) -> DataFrame:
     """Add `word_id` to rows with a `word`; unknown words get the id of <UNK>.
 
-    A vocabulary whose measured size is small is broadcast. Otherwise its most frequent words
-    are, which resolves nearly all rows where they are and takes the hot keys out of the
-    shuffle; only the remaining rows meet the whole vocabulary in a shuffled join.
+    The most frequent words of the rows themselves, in the vocabulary or not, are looked up first
+    and broadcast: a bounded table that settles most rows where they are. What is left are rows of
+    rarer words, none of which has more than a `head_rows`-th of all rows, and they meet the whole
+    vocabulary in a shuffled join. Size and cores change nothing in that.
     """
-    size = vocab.agg(F.sum(F.octet_length("word") + 16).alias("bytes")).first().bytes or 0
     lookup = vocab.select("word", "word_id")
-    if size <= broadcast_bytes:
-        found = words.join(F.broadcast(lookup), "word", "left")
-    else:
-        head = (
-            vocab.filter(F.octet_length("word") <= HEAD_WORD_BYTES)
-            .orderBy(F.desc("total_count"), F.asc("word"))
-            .limit(HEAD_ROWS)
-        )
-        tried = words.join(F.broadcast(head.select("word", "word_id")), "word", "left")
-        rest = tried.filter(F.col("word_id").isNull()).drop("word_id")
-        found = tried.filter(F.col("word_id").isNotNull()).unionByName(
-            rest.join(lookup, "word", "left")
+    counts = words.filter(F.octet_length("word") <= HEAD_WORD_BYTES).groupBy("word").agg(
+        F.count("*").alias("n")
+    )
+    frequent = counts.orderBy(F.desc("n"), F.asc("word")).limit(head_rows).select("word")
+    unknown = F.lit(RESERVED["<UNK>"]).cast(vocab.schema["word_id"].dataType)
+    head = cut(
+        frequent.join(lookup, "word", "left").select(
+            "word", F.coalesce("word_id", unknown).alias("_head_id")
         )
-    known = F.coalesce("word_id", F.lit(RESERVED["<UNK>"]))
-    return found.select(*words.columns, known.alias("word_id"))
+    )
+    tried = words.join(F.broadcast(head), "word", "left")
+    settled = tried.filter(F.col("_head_id").isNotNull())
+    rest = tried.filter(F.col("_head_id").isNull()).drop("_head_id").join(lookup, "word", "left")
+    return settled.select(*words.columns, F.col("_head_id").alias("word_id")).unionByName(
+        rest.select(*words.columns, F.coalesce("word_id", unknown).alias("word_id"))
+    )
 
 
 def id_sequences(
     docs: DataFrame,
     vocab: DataFrame,
     options: Options = Options(),
-    broadcast_bytes: int = BROADCAST_BYTES,
+    head_rows: int = HEAD_ROWS,
 ) -> DataFrame:
     """(doc_id, input_ids, attention_mask), both arrays exactly `sequence_length` long.
 
@@ -86,7 +88,7 @@ def id_sequences(
     fitting = F.slice(split_clean_words(F.col("text")), 1, length)
     listed = docs.select("doc_id", fitting.alias("_words"))
     words = listed.select("doc_id", F.posexplode_outer("_words").alias("pos", "word"))
-    numbered = with_word_ids(words, vocab, broadcast_bytes)
+    numbered = with_word_ids(words, vocab, head_rows)
     placed = numbered.groupBy("doc_id").agg(
         F.sort_array(F.collect_list(F.struct("pos", "word_id"))).alias("_placed")
     )

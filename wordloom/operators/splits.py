@@ -15,8 +15,12 @@ def hash_bucket(key: Column, seed: int, buckets: int) -> Column:
 
 
 def is_validation(key: Column, options: Options = Options()) -> Column:
-    percent = round(options.test_size * 100)
-    return hash_bucket(key, options.random_state, 100) < percent
+    """Rows of the held-out share, in steps of one in a million; whole percents take the rows that
+    a hundred buckets would."""
+    millionths = round(options.test_size * 1_000_000)
+    if millionths % 10_000 == 0:
+        return hash_bucket(key, options.random_state, 100) < millionths // 10_000
+    return hash_bucket(key, options.random_state, 1_000_000) < millionths
 
 
 def train_validation(docs: DataFrame, options: Options = Options(), key: str = "doc_id"):

@@ -4,29 +4,26 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.functions.cleaning import with_clean_text
 from wordloom.operators.metrics import confusion, log_loss, weighted_scores
 from wordloom.options import Options
 from wordloom.plans.pipeline import load_model
 from wordloom.plans.runlog import RunLog
+from wordloom.plans.scoring import probability_columns
 from wordloom.session import cut
-from wordloom.sources.reviews import labelled, read_csv, typed_reviews
+from wordloom.sources.reviews import labelled, load_reviews
 
 
 def predictions(model: PipelineModel, docs: DataFrame, *keys: str) -> DataFrame:
     """(keys, label, prediction, probabilities, vectors) of labelled texts."""
     scored = model.transform(docs)
-    probability = vector_to_array("probability")
     return scored.select(
         *keys,
         "label",
         F.col("prediction").cast("int").alias("prediction"),
-        F.get(probability, F.lit(0)).alias("probability_negative"),
-        F.get(probability, F.lit(1)).alias("probability_positive"),
+        *probability_columns(model),
         "probability",
         "rawPrediction",
     )
@@ -71,6 +68,6 @@ def exact_auc(scored: DataFrame, column: str) -> float:
 def evaluate_saved(
     spark: SparkSession, model_path: str, test_path: str, metrics=Options().metrics
 ) -> dict[str, float]:
-    """Load a saved pipeline and measure it on a delimited test file."""
-    test = labelled(with_clean_text(typed_reviews(read_csv(spark, test_path))))
+    """Load a saved pipeline and measure it on a delimited test file, read into a stage table."""
+    test = labelled(load_reviews(spark, test_path, "test"))
     return evaluate(load_model(spark, model_path), test, metrics)

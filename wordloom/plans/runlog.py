@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +41,13 @@ class RunLog:
         self._append("run_artifacts", [(run_id, str(k), str(v)) for k, v in artifacts.items()])
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
+        """A run table; one that nothing was logged to has no rows."""
+        try:
+            return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.folder}/{name}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], SCHEMAS[name])
 
     def _append(self, name: str, rows: list[tuple]) -> None:
         if rows:

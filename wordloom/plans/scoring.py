@@ -7,8 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import predict_batch_udf
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -24,13 +24,17 @@ def score_table(model: PipelineModel, docs: DataFrame, *keep: str) -> DataFrame:
     """
     scored = model.transform(docs)
     columns = keep or tuple(docs.columns)
-    probability = vector_to_array("probability")
-    return scored.select(
-        *columns,
-        F.col("prediction").cast("int").alias("prediction"),
-        F.get(probability, F.lit(0)).alias("probability_negative"),
-        F.get(probability, F.lit(1)).alias("probability_positive"),
-    )
+    prediction = F.col("prediction").cast("int").alias("prediction")
+    return scored.select(*columns, prediction, *probability_columns(model))
+
+
+def probability_columns(model: PipelineModel) -> list[Column]:
+    """probability_negative and probability_positive of a two-class model, else probability_0 and
+    so on, read from the vector without a function call."""
+    classes = model.stages[-1].numClasses
+    names = ["negative", "positive"] if classes == 2 else list(map(str, range(classes)))
+    parts = F.unwrap_udt("probability")["values"]
+    return [F.get(parts, F.lit(k)).alias(f"probability_{name}") for k, name in enumerate(names)]
 
 
 def usable(docs: DataFrame) -> DataFrame:
@@ -41,7 +45,7 @@ def usable(docs: DataFrame) -> DataFrame:
 def score_text(model: PipelineModel, spark, text: str):
     """The prediction row of one text."""
     if not text.strip():
-        raise ValueError("Please provide some text to analyze.")
+        raise ValueError("nothing to score: the text is blank")
     return score_table(model, literal_text(spark, text), "text").first()
 
 
@@ -65,7 +69,14 @@ def presented(predictions: DataFrame, *keep: str) -> DataFrame:
 
 
 def with_softmax(df: DataFrame, logits: str) -> DataFrame:
-    """Replace an array of two class logits by the prediction and its probabilities."""
+    """Replace an array of two class logits by the prediction and its probabilities.
+
+    Any other number of logits is an error.
+    """
+    checked = F.when(F.size(logits) == 2, F.col(logits)).otherwise(
+        F.raise_error(F.lit("two logits are needed"))
+    )
+    df = df.withColumn(logits, checked)
     first, second = F.get(logits, F.lit(0)), F.get(logits, F.lit(1))
     kept = [name for name in df.columns if name != logits]
     return df.select(
@@ -94,16 +105,27 @@ def linear_logits(features: Column, weights: np.ndarray, bias: np.ndarray) -> Co
     """Class logits of a linear model from outside Spark over feature vectors.
 
     Sparse vectors travel to Python as their indices and values, in Arrow batches: a few
-    hundred numbers per text where the dense form would send one per feature.
+    hundred numbers per text where the dense form would send one per feature. The entries of a
+    batch meet their weights in one product and are summed by text. The weights are sent to each
+    worker once.
     """
+    sent = SparkSession.active().sparkContext.broadcast((weights, bias))
 
     @F.pandas_udf("array<double>")
     def logits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        weights, bias = sent.value
         for batch in batches:
-            rows = zip(batch["indices"], batch["values"])
-            yield pd.Series(
-                [(v @ (weights if i is None else weights[i]) + bias).tolist() for i, v in rows]
-            )
+            values = [np.asarray(v, float) for v in batch["values"]]
+            places = [
+                np.arange(len(v)) if i is None else i for i, v in zip(batch["indices"], values)
+            ]
+            sizes = np.array([len(v) for v in values], int)
+            out = np.zeros((len(values), len(bias)))
+            some = sizes > 0
+            if some.any():
+                entries = np.concatenate(values)[:, None] * weights[np.concatenate(places).astype(int)]
+                out[some] = np.add.reduceat(entries, (np.cumsum(sizes) - sizes)[some])
+            yield pd.Series(list(out + bias))
 
     vector = F.unwrap_udt(features)
     return logits(F.struct(vector["indices"].alias("indices"), vector["values"].alias("values")))

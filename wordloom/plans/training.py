@@ -11,7 +11,8 @@ from wordloom.plans.evaluation import evaluate
 from wordloom.plans.pipeline import fit_classifier, fit_vocabulary, save_model
 from wordloom.plans.runlog import RunLog
 from wordloom.plans.tuning import cross_validate, tuning_metrics
-from wordloom.sources.reviews import labelled, load_splits
+from wordloom.session import temporary_tables
+from wordloom.sources.reviews import labelled, load_splits, rejects
 from wordloom.sources.stages import read_prepared
 
 
@@ -29,16 +30,21 @@ def train(
     """Fit on cleaned reviews, measure on others, write the run's rows, store the model.
 
     Unlabelled texts, where given, take part in choosing the words and weighing them, and in
-    nothing else. With `tune` the settings come from cross-validation.
+    nothing else. With `tune` the settings come from cross-validation. Rows of either table
+    without a usable label are counted as rejected and left out.
     """
     name = algorithm or options.algorithm
+    rejected = [rejects(table).first().rejected for table in (reviews, test)]
+    reviews, test = labelled(reviews), labelled(test)
     params = {
         "algorithm": name,
         "train_samples": reviews.count(),
+        "train_rejected": rejected[0],
+        "test_rejected": rejected[1],
         "features_used": options.feature_info,
     }
     if tune:
-        tuned = cross_validate(reviews, name, options)
+        tuned = cross_validate(reviews, name, options, unsupervised=unsupervised)
         model = tuned.model
         params["cv_folds"] = options.cv_folds
         params.update({f"best_{key}": value for key, value in tuned.best.items()})
@@ -48,6 +54,7 @@ def train(
         if unsupervised is not None:
             texts = texts.unionByName(unsupervised.select("doc_id", "text"))
         model = fit_classifier(reviews, name, options, fit_vocabulary(texts, options))
+    params["features"] = model.stages[-1].numFeatures
     log.log_params(run_id, params)
     evaluate(model, test, options.metrics, log, run_id)
     if model_path:
@@ -67,22 +74,26 @@ def train_from_files(
     options: Options = Options(),
     tune: bool = False,
 ) -> PipelineModel:
-    """The whole job below one folder: prepared table, run log and model."""
+    """The whole job below one folder: prepared table, run log and model.
+
+    Vectors and other tables made on the way are deleted when the job ends.
+    """
     files = {"train": train_file, "test": test_file, "unsupervised": unsupervised_file}
     stage = f"{folder}/prepared"
     load_splits(spark, stage, **{split: path for split, path in files.items() if path})
     unlabelled = read_prepared(spark, stage, "unsupervised") if unsupervised_file else None
-    return train(
-        labelled(read_prepared(spark, stage, "train")),
-        labelled(read_prepared(spark, stage, "test")),
-        RunLog(spark, f"{folder}/runs"),
-        run_id,
-        algorithm,
-        options,
-        unlabelled,
-        tune,
-        f"{folder}/models/{run_id}",
-    )
+    with temporary_tables(spark):
+        return train(
+            read_prepared(spark, stage, "train"),
+            read_prepared(spark, stage, "test"),
+            RunLog(spark, f"{folder}/runs"),
+            run_id,
+            algorithm,
+            options,
+            unlabelled,
+            tune,
+            f"{folder}/models/{run_id}",
+        )
 
 
 def describe(reviews: DataFrame, options: Options = Options()) -> tuple[DataFrame, DataFrame]:

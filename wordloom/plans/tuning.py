@@ -14,8 +14,17 @@ from pyspark.util import inheritable_thread_target
 
 from wordloom.operators.splits import with_fold
 from wordloom.options import Options
-from wordloom.plans.pipeline import create_classifier, fit_features, fit_vocabulary, prepare
+from wordloom.plans.pipeline import (
+    ITERATIVE,
+    create_classifier,
+    fit_features,
+    fit_vocabulary,
+    for_raw_text,
+    placed,
+    prepare,
+)
 from wordloom.session import cut
+from wordloom.sources.reviews import labelled
 
 
 @dataclass(frozen=True)
@@ -46,22 +55,35 @@ def cross_validate(
     options: Options = Options(),
     leaky: bool = False,
     parallelism: int = 4,
+    unsupervised: DataFrame | None = None,
 ) -> Tuned:
     """Pick the grid point with the best mean accuracy and refit it on all of `train`.
 
     `train` holds cleaned (doc_id, text, label) rows; folds come from the row id. Vocabulary
     and IDF are fitted on the training part of each fold, once for all grid points, and the
     fold's vectors are stored because every grid point reads them. With `leaky` one vocabulary
-    fitted on all rows serves every fold.
+    fitted on all rows serves every fold. `unsupervised` texts (doc_id, text) take part in every
+    vocabulary and its weights. Rows without a label are left out.
     """
+    train = labelled(train)
+
+    def words_of(rows: DataFrame):
+        texts = rows.select("doc_id", "text")
+        if unsupervised is not None:
+            texts = texts.unionByName(unsupervised.select("doc_id", "text"))
+        return fit_vocabulary(texts, options)
+
+    def stored(features: PipelineModel):
+        vectors = prepare(features, folded, "doc_id", "fold")
+        return placed(vectors, options) if name in ITERATIVE else cut(vectors)
+
     name = algorithm or options.algorithm
     estimator = create_classifier(name, options)
     grid = param_grid(estimator, name)
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
     folded = with_fold(train, options)
-    whole_vocab = fit_vocabulary(train, options)
-    whole = fit_features(train, options, whole_vocab)
-    shared = cut(prepare(whole, folded, "fold")) if leaky else None
+    whole = fit_features(train, options, words_of(train), cleaned=True)
+    shared = stored(whole) if leaky else None
 
     totals = [0.0] * len(grid)
     for fold in range(options.cv_folds):
@@ -70,10 +92,7 @@ def cross_validate(
             vectors = shared
         else:
             fold_train = folded.filter(~held_out)
-            features = fit_features(
-                fold_train, options, fit_vocabulary(fold_train, options)
-            )
-            vectors = cut(prepare(features, folded, "fold"))
+            vectors = stored(fit_features(fold_train, options, words_of(fold_train), cleaned=True))
         fit_part, test_part = vectors.filter(~held_out), vectors.filter(held_out)
 
         def accuracy(params, fit_part=fit_part, test_part=test_part):
@@ -86,9 +105,11 @@ def cross_validate(
 
     averages = [total / options.cv_folds for total in totals]
     best = max(range(len(grid)), key=lambda i: averages[i])
-    model = estimator.fit(prepare(whole, train), grid[best])
+    everything = prepare(whole, train, "doc_id")
+    everything = placed(everything, options) if name in ITERATIVE else everything
+    model = estimator.fit(everything, grid[best])
     named = [{param.name: value for param, value in point.items()} for point in grid]
-    return Tuned(PipelineModel([*whole.stages, model]), named[best], named, averages)
+    return Tuned(for_raw_text(whole, model, options), named[best], named, averages)
 
 
 def tuning_metrics(tuned: Tuned) -> dict[str, float]:

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,17 +26,28 @@ def build_session(app_name: str = "wordloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_JOB_FOLDER: ContextVar[str | None] = ContextVar("job_folder", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by `spark.checkpoint.dir`, where every executor can read and write.
 
-    Only a local session may go without the setting; it then gets a temporary folder.
+    Only a local session may go without the setting; it then gets a temporary folder. Elsewhere a
+    `file:` path is refused, as each machine would write to its own disk, unless
+    `spark.wordloom.sharedMount` is true: the path then is a mount that all machines share.
     """
+    if _JOB_FOLDER.get():
+        return _JOB_FOLDER.get()
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    local = context.master.startswith("local")
     if folder is None:
-        if not context.master.startswith("local"):
+        if not local:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="wordloom-")
+    mounted = spark.conf.get("spark.wordloom.sharedMount", "false").lower() == "true"
+    if folder.startswith("file:") and not local and not mounted:
+        raise ValueError(f"{folder} is on each machine's own disk; name a shared folder")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
@@ -50,13 +64,25 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Even out a table scan that has fewer splits than the session has cores.
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[str]:
+    """Tables from `new_folder` and checkpoints made inside are deleted at the end.
 
-    Anything larger than two waves of splits is returned untouched, so big scans never shuffle.
-    Only for plain scans: asking a plan with a shuffle for its partitions would run the shuffle.
+    For jobs that leave their results elsewhere: a table made inside cannot be read afterwards.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= 2 * cores:
-        return scan
-    return scan.repartition(cores, key)
+    context = spark.sparkContext
+    folder, before = new_folder(spark, "job"), context.getCheckpointDir()
+    context.setCheckpointDir(folder)
+    token = _JOB_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _JOB_FOLDER.reset(token)
+        context.setCheckpointDir(before)
+        delete_folder(spark, folder)
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder in whatever store its path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,21 +8,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.functions.cleaning import classic_clean, with_clean_text
-from wordloom.session import new_folder, spread
+from wordloom.session import new_folder
 from wordloom.sources.stages import write_prepared
 
 RAW_COLUMNS = ("text", "label")
 
 
-def read_csv(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, header: bool = True, multi_line: bool = True
+) -> DataFrame:
     """A delimited file as strings; quoted fields may hold doubled quotes and line breaks.
 
     With a header, columns go by their names in the file; without one the first two columns
-    are the text and the label.
+    are the text and the label. Quoted line breaks keep a file in one task; where no field has
+    any, `multi_line=False` lets large files split.
     """
     reader = (
         spark.read.option("header", header)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
     )
@@ -50,7 +53,12 @@ def labelled(df: DataFrame) -> DataFrame:
 
 
 def load_splits(
-    spark: SparkSession, folder: str, clean=classic_clean, header: bool = True, **paths: str
+    spark: SparkSession,
+    folder: str,
+    clean=classic_clean,
+    header: bool = True,
+    multi_line: bool = True,
+    **paths: str,
 ) -> DataFrame:
     """Delimited files, one per split, as one stored table (doc_id, text, label, split).
 
@@ -59,7 +67,7 @@ def load_splits(
     file in one task.
     """
     parts = [
-        typed_reviews(read_csv(spark, path, header)).withColumn("split", F.lit(split))
+        typed_reviews(read_csv(spark, path, header, multi_line)).withColumn("split", F.lit(split))
         for split, path in paths.items()
     ]
     rows = reduce(DataFrame.unionByName, parts)
@@ -86,7 +94,7 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """All texts of a table folder as (doc_id, text)."""
-    return spread(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id")
+    return read_table(spark, folder, "documents").select("doc_id", "text")
 
 
 def reviews(spark: SparkSession, folder: str, label: str = "quality") -> DataFrame:
