@@ -118,10 +118,10 @@ def in_reading_order(docs: DataFrame, chunks: int | None = None) -> DataFrame:
     own = F.struct(F.col("chunk").alias("chunk"), F.lit(False).alias("ghost"))
     ghost = F.struct(F.col("above").alias("chunk"), F.lit(True).alias("ghost"))
     stands = F.inline(F.when(is_top, F.array(own, ghost)).otherwise(F.array(own)))
-    rows = rows.select("doc_id", "text", "tie", stands.alias("at_chunk", "ghost"))
-    order = Window.partitionBy("at_chunk").orderBy("ghost", F.desc_nulls_last("doc_id"), F.desc("tie"))
+    rows = rows.select("doc_id", "text", "tie", stands.alias("chunk", "ghost"))
+    order = Window.partitionBy("chunk").orderBy("ghost", F.desc_nulls_last("doc_id"), F.desc("tie"))
     return rows.select(
-        F.col("at_chunk").alias("chunk"),
+        "chunk",
         F.row_number().over(order).alias("pos"),
         "ghost",
         "doc_id",
