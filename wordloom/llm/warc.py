@@ -18,6 +18,8 @@ from wordloom.session import cut
 
 FANOUT = 16
 RECORDS_IN_FILE = FANOUT**3
+ROWS_IN_FILE = 50_000
+MOST_COALESCED = 32  # beyond, a table keeps the partitions of its shuffle
 MANIFEST = ("page_id", "place", "file", "offset", "length", "record_sha256")
 DATE = "2025-01-01T00:00:00Z"
 
@@ -97,14 +99,20 @@ def leaves(manifest: DataFrame) -> DataFrame:
     return manifest.withColumn("digest", F.sha2(where, 256))
 
 
-def tree(leaf_rows: DataFrame, height: int, fanout: int = FANOUT) -> DataFrame:
-    """All nodes (level, node, digest); level 0 are the leaves, `height` the root.
+def stored(rows: DataFrame, most: int) -> DataFrame:
+    """Checkpoint a table of at most `most` rows, in no more files than they need."""
+    files = max(1, -(-most // ROWS_IN_FILE))
+    return cut(rows.coalesce(files) if files < MOST_COALESCED else rows)
+
+
+def tree(leaf_rows: DataFrame, height: int, fanout: int = FANOUT) -> list[DataFrame]:
+    """The nodes (node, digest) of each level; level 0 are the leaves, `height` the root.
 
     A node is the SHA-256 of its children's digests in the order of their places; a missing child
     leaves its number out. Each level is an aggregation of at most `fanout` rows a group.
     """
-    level = leaf_rows.select(F.lit(0).alias("level"), F.col("place").alias("node"), "digest")
-    nodes = level
+    level = leaf_rows.select(F.col("place").alias("node"), "digest")
+    nodes = [level]
     for k in range(1, height + 1):
         child = F.struct("node", "digest")
         grown = level.groupBy(F.expr(f"node div {fanout}").alias("parent")).agg(
@@ -113,10 +121,9 @@ def tree(leaf_rows: DataFrame, height: int, fanout: int = FANOUT) -> DataFrame:
         text = F.array_join(
             F.transform("children", lambda c: F.concat_ws(":", c["node"].cast("string"), c["digest"])), ","
         )
-        level = cut(
-            grown.select(F.lit(k).alias("level"), F.col("parent").alias("node"), F.sha2(text, 256).alias("digest"))
-        )
-        nodes = nodes.union(level)
+        grown = grown.select(F.col("parent").alias("node"), F.sha2(text, 256).alias("digest"))
+        level = stored(grown, fanout ** (height - k))
+        nodes.append(level)
     return nodes
 
 
@@ -127,23 +134,24 @@ def height_for(count: int, fanout: int = FANOUT) -> int:
     return height
 
 
-def damaged(ours: DataFrame, theirs: DataFrame, height: int, fanout: int = FANOUT) -> DataFrame:
+def damaged(ours: list[DataFrame], theirs: list[DataFrame], fanout: int = FANOUT) -> DataFrame:
     """(place, in_ours, in_theirs) of the leaves that differ, found from the root down.
 
-    `ours` and `theirs` are node tables of the same height. Each step keeps the children of nodes
-    that differ and compares those alone.
+    `ours` and `theirs` are trees of the same height. Each step keeps the children of nodes that
+    differ and compares those alone.
     """
-    spark = ours.sparkSession
+    spark, height = ours[0].sparkSession, len(ours) - 1
     open_nodes = spark.createDataFrame([(0,)], "node long")
     for level in range(height, -1, -1):
         sides = [
-            t.filter(F.col("level") == level).join(open_nodes, "node", "left_semi").select("node", F.col("digest").alias(name))
+            t[level].join(open_nodes, "node", "left_semi").select("node", F.col("digest").alias(name))
             for t, name in ((ours, "a"), (theirs, "b"))
         ]
         differ = sides[0].join(sides[1], "node", "full").filter(~F.col("a").eqNullSafe(F.col("b")))
         if level:
             children = F.sequence(F.col("node") * fanout, F.col("node") * fanout + fanout - 1)
-            open_nodes = cut(differ.select(F.explode(children).alias("node")))
+            open_nodes = differ.select(F.explode(children).alias("node"))
+            open_nodes = stored(open_nodes, fanout ** (height - level + 1))
             if open_nodes.isEmpty():
                 break
         else:
@@ -169,7 +177,7 @@ def fixity_audit(manifest: DataFrame, replica: DataFrame, fanout: int = FANOUT)
     both = ours.select("place").union(theirs.select("place"))
     last = both.agg(F.max("place")).first()[0]
     height = height_for(1 if last is None else last + 1, fanout)
-    marks = damaged(tree(ours, height, fanout), tree(theirs, height, fanout), height, fanout)
+    marks = damaged(tree(ours, height, fanout), tree(theirs, height, fanout), fanout)
     status = (
         F.when(F.col("in_ours").isNull(), "sound")
         .when(~F.col("in_theirs"), "missing")
