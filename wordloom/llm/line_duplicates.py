@@ -3,9 +3,9 @@
 A line is the set of its distinct lower-cased words. Words are ordered from rare to frequent; two
 sets of the wanted Jaccard similarity must share one of their first few words, so only sets that
 share such a word are compared, and only where lengths, the place of the word and a bitmap bound on
-the overlap allow a match. Equal sets go on as one. A set that matches the earliest holder of one
-of its words is settled by that alone; only the others are compared with all earlier holders, so
-a cluster of like lines costs about as many comparisons as it has lines.
+the overlap allow a match. Equal sets, told by a 64-bit hash and their size, go on as one. A set that
+matches one of the first holders of a word is settled by that; only the others are compared with
+all earlier holders, so a cluster of like lines costs about as many comparisons as it has lines.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordloom.llm.bytewise import (
     U64,
@@ -28,11 +29,15 @@ from wordloom.llm.bytewise import (
     word_limits,
 )
 from wordloom.llm.names import unused
-from wordloom.session import cut
+from wordloom.llm.tables import broadcast_if_small, stored
 
 HEAD_WORDS = 1 << 16
 LEAST_WORDS = 5
 COUNT_RUN_BYTES = 8 << 20
+MOST_COUNTS = 4_000_000
+HUBS = (1, 2, 4, 8, 16, 32)
+MOST_WITNESSES = 2
+NO_ID = 2**63 - 1
 
 
 def _line_offsets(part: np.ndarray, offsets: np.ndarray):
@@ -46,16 +51,33 @@ def _line_offsets(part: np.ndarray, offsets: np.ndarray):
 
 
 def _counted(batches):
-    hasher = WordHasher()
+    """Words of a partition with their uses, merged in memory up to `MOST_COUNTS` at a time."""
+    hasher, held, size = WordHasher(), [], 0
+
+    def merged():
+        words, which = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        return words, np.bincount(which, np.concatenate([n for _, n in held])).astype(np.int64)
+
+    def rows(words, uses):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(words.view(np.int64)), pa.array(uses)], ["word", "uses"]
+        )
+
     for batch in batches:
         data, offsets = byte_view(batch.column("text"))
         for i, j in runs(offsets, COUNT_RUN_BYTES):
             part = lowered(data[offsets[i] : offsets[j]])
             starts, ends, _ = word_limits(part, offsets[i : j + 1] - offsets[i])
-            words, uses = np.unique(hasher(part, starts, ends), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(words.view(np.int64)), pa.array(uses)], ["word", "uses"]
-            )
+            held.append(np.unique(hasher(part, starts, ends), return_counts=True))
+            size += len(held[-1][0])
+            if size > MOST_COUNTS:
+                held = [merged()]
+                size = len(held[0][0])
+                if size > MOST_COUNTS // 2:
+                    yield rows(*held[0])
+                    held, size = [], 0
+    if held:
+        yield rows(*merged())
 
 
 def frequent_words(texts: DataFrame, head_words: int = HEAD_WORDS) -> np.ndarray:
@@ -102,10 +124,12 @@ def _prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
     return sizes - -(-sizes * percent // 100) + 1
 
 
-LINES = (
-    "doc_id long, text_key long, line long, n long, d1 long, d2 long, p0 long, p1 long, "
-    "prefix array<long>"
-)
+LINES = "doc_id long, text_key long, line int, n int, sid long, bits long, prefix array<int>"
+
+
+def _set_ids(values, owner, sizes) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(sums_by(owner, mix(values + U64(0x51ED27)), sizes) + sizes.astype(U64)).view(np.int64)
 
 
 def _lines(head: np.ndarray, percent: int, least_words: int):
@@ -119,28 +143,22 @@ def _lines(head: np.ndarray, percent: int, least_words: int):
                     part, offsets[i : j + 1] - offsets[i], hasher, ranks, least_words
                 )
                 with np.errstate(over="ignore"):
-                    mixed = mix(values + U64(0x51ED27))
-                    d1 = sums_by(owner, mixed, sizes)
-                    d2 = sums_by(owner, mix(values ^ U64(0x5A5A5A5A00)), sizes)
-                parity = np.zeros((len(sizes), 2), U64)
+                    mixed = mix(values + U64(0x2545F491))
+                first = np.cumsum(sizes) - sizes
+                bits = np.zeros(len(sizes), U64)
                 if len(values):
-                    bit = U64(1) << (mixed & U64(63))
-                    second = (mixed >> U64(6)) & U64(1)
-                    first = np.cumsum(sizes) - sizes
-                    for k in (0, 1):
-                        parity[:, k] = np.bitwise_xor.reduceat(np.where(second == k, bit, U64(0)), first)
+                    bits = np.bitwise_xor.reduceat(U64(1) << (mixed & U64(63)), first)
                 few = _prefix_sizes(sizes, percent)
-                first = np.cumsum(sizes) - sizes
                 among = np.arange(len(values)) - first[owner] < few[owner]
-                ids = [batch.column(c).slice(i, j - i).take(pa.array(text)) for c in ("doc_id", "text_key")]
+                short = (mixed[among] >> U64(32)).astype(np.uint32).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *ids,
-                        pa.array(number.astype(np.int64)),
-                        pa.array(sizes.astype(np.int64)),
-                        *[pa.array(x.view(np.int64)) for x in (d1, d2)],
-                        *[pa.array(np.ascontiguousarray(parity[:, k]).view(np.int64)) for k in (0, 1)],
-                        lists(values[among].view(np.int64), few),
+                        *[batch.column(c).slice(i, j - i).take(pa.array(text)) for c in ("doc_id", "text_key")],
+                        pa.array(number.astype(np.int32)),
+                        pa.array(sizes.astype(np.int32)),
+                        pa.array(_set_ids(values, owner, sizes)),
+                        pa.array(bits.view(np.int64)),
+                        lists(short, few),
                     ],
                     LINES.replace(",", "").split()[::2],
                 )
@@ -149,71 +167,140 @@ def _lines(head: np.ndarray, percent: int, least_words: int):
 
 
 def _words_of(head: np.ndarray, least_words: int):
-    """(sid, words) of the lines wanted of each text."""
+    """(sid, words) of the lines asked for in each text."""
 
     def run(batches):
         hasher, ranks = WordHasher(), _Ranks(head)
         for batch in batches:
             data, offsets = byte_view(batch.column("text"))
-            wanted = batch.column("wanted")
-            wanted_ends = wanted.offsets.to_numpy()
-            flat = wanted.flatten()
-            lines, sids = flat.field("line").to_numpy(), flat.field("sid").to_numpy()
+            asked = batch.column("lines")
+            lines, ends = asked.flatten().to_numpy(), asked.offsets.to_numpy()
+            ends = ends - ends[0]
             for i, j in runs(offsets):
                 part = data[offsets[i] : offsets[j]]
-                text, number, values, _, sizes = _line_sets(
+                text, number, values, owner, sizes = _line_sets(
                     part, offsets[i : j + 1] - offsets[i], hasher, ranks, least_words
                 )
-                span = slice(wanted_ends[i] - wanted_ends[0], wanted_ends[j] - wanted_ends[0])
-                asked = np.repeat(np.arange(j - i), np.diff(wanted_ends[i : j + 1]))
-                # Line keys rise: texts in order, lines in order.
-                key, ask = text << 32 | number, asked << 32 | lines[span]
-                at = np.searchsorted(key, ask)
-                ends = np.cumsum(sizes)
-                rows = [values[ends[k] - sizes[k] : ends[k]] for k in at]
-                flat_rows = np.concatenate(rows) if rows else np.zeros(0, U64)
+                own = np.repeat(np.arange(j - i), np.diff(ends[i : j + 1])) << 32
+                wanted = np.isin(text << 32 | number, own | lines[ends[i] : ends[j]])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sids[span]), lists(flat_rows.view(np.int64), sizes[at])], ["sid", "words"]
+                    [
+                        pa.array(_set_ids(values, owner, sizes)[wanted]),
+                        lists(values[wanted[owner]].view(np.int64), sizes[wanted]),
+                    ],
+                    ["sid", "words"],
                 )
 
     return run
 
 
-def _overlap_possible(percent: int) -> Column:
+#: What a spot, a set at one of its first words, carries.
+SPOT = ("doc", "line", "sid", "n", "bits", "pos")
+PLACE = ("doc", "line", "sid")
+
+
+def _spots(sets: DataFrame) -> DataFrame:
+    """(word, spot): each set at each word of its prefix; `doc` orders null ids last.
+
+    No column can be null, so joins add no filters below the shuffle, and all readers share it.
+    """
+    doc = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
+    each = sets.select(F.posexplode("prefix").alias("pos", "word"), doc, "line", "sid", "n", "bits")
+    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("word", "line", "sid", "n", "bits")]
+    return each.select("doc", "pos", *filled)
+
+
+def _earlier(own, other) -> Column:
+    return F.struct(*map(other, PLACE)) < F.struct(*map(own, PLACE))
+
+
+def _overlap_possible(own, other, percent: int) -> Column:
     """Length filter, and a bound on the overlap by the bits in which the bitmaps differ."""
-    total = F.col("n") + F.col("o_n")
-    apart = F.bit_count(F.col("p0").bitwiseXOR(F.col("o_p0"))) + F.bit_count(
-        F.col("p1").bitwiseXOR(F.col("o_p1"))
-    )
-    return (100 * F.least("n", "o_n") >= percent * F.greatest("n", "o_n")) & (
+    n, total = (own("n"), other("n")), own("n") + other("n")
+    apart = F.bit_count(own("bits").bitwiseXOR(other("bits")))
+    return (100 * F.least(*n) >= percent * F.greatest(*n)) & (
         (100 + percent) * (total - apart) >= 2 * percent * total
     )
 
 
-def _position_possible(percent: int) -> Column:
-    """From the first shared word on, both sets must hold enough words."""
-    total = F.col("n") + F.col("o_n")
-    most = F.least(F.col("n") - F.col("pos"), F.col("o_n") - F.col("o_pos"))
-    return (100 + percent) * most >= percent * total
+def _position_possible(own, other, percent: int) -> Column:
+    """From their first shared word on, both sets must hold enough words. (Of later shared words
+    the bound asks too much; the row of the first one remains.)"""
+    most = F.least(own("n") - own("pos"), other("n") - other("pos"))
+    return (100 + percent) * most >= percent * (own("n") + other("n"))
 
 
-def _matches(pairs: DataFrame, sets: DataFrame, texts: DataFrame, words_of, percent: int) -> DataFrame:
-    """The distinct `sid` of pairs (sid, o_sid) whose full sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("sid", "o_sid")).alias("sid")).distinct()
-    places = sets.select("sid", "doc_id", "text_key", "line").join(wanted, "sid")
-    by_text = places.groupBy("doc_id", "text_key").agg(
-        F.array_sort(F.collect_set(F.struct("line", "sid"))).alias("wanted")
+def _possible(own, other, percent: int) -> Column:
+    return (
+        _earlier(own, other)
+        & _overlap_possible(own, other, percent)
+        & _position_possible(own, other, percent)
     )
-    by_text = by_text.withColumnsRenamed({"doc_id": "w_id", "text_key": "w_key"})
-    same = F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_key") == F.col("w_key"))
-    found = cut(
-        texts.join(by_text, same)
-        .select("text", "wanted")
-        .mapInArrow(words_of, "sid long, words array<long>")
-        .dropDuplicates(["sid"])
+
+
+def _pairs(spots: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """(sid, doc, line, o_sid, o_doc, o_line): sets and earlier ones that they may match."""
+    possible = (OWN("word") == OTHER("word")) & _possible(OWN, OTHER, percent)
+    both = spots.alias("own").join(others.alias("other"), possible)
+    return both.select(*[OWN(c) for c in PAIR[:3]], *[OTHER(c).alias(f"o_{c}") for c in PAIR[:3]])
+
+
+def OWN(name: str) -> Column:
+    return F.col(f"own.{name}")
+
+
+def OTHER(name: str) -> Column:
+    return F.col(f"other.{name}")
+
+
+PAIR = ("sid", "doc", "line", "o_sid", "o_doc", "o_line")
+
+
+def _candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs to be compared in full, and whether they stand for others.
+
+    A word's holders stand in order in one place. Each is held against a few of the first ones
+    (`HUBS`); where one of them is a possible match, the holder is paired with that alone
+    (`hub` true), else with all possible matches before it. The join is an outer one so that the
+    holders are read once, and its other side reads the same shuffle.
+    """
+    spots = _spots(sets).repartition("word")
+    order = Window.partitionBy("word").orderBy("doc", "line", "sid")
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hubs = [F.nth_value(F.struct(*SPOT), k).over(until).alias(f"hub{k}") for k in HUBS]
+    placed = spots.select("*", *hubs)
+    near = []
+    for k in HUBS:
+
+        def hub(name, k=k):
+            return F.col(f"hub{k}")[name]
+
+        fits = _earlier(F.col, hub) & _overlap_possible(F.col, hub, percent)
+        near.append(F.when(F.coalesce(fits, F.lit(False)), F.struct(*[hub(c) for c in PAIR[:3]])))
+    near = F.slice(F.array_compact(F.array(*near)), 1, MOST_WITNESSES).alias("near")
+    placed = placed.select("word", *SPOT, near)
+    alone = F.size(OWN("near")) == 0
+    possible = (OWN("word") == OTHER("word")) & alone & _possible(OWN, OTHER, percent)
+    both = placed.alias("own").join(spots.alias("other"), possible, "left")
+    found = F.when(~alone, OWN("near")).when(
+        OTHER("sid").isNotNull(), F.array(F.struct(*[OTHER(c) for c in PAIR[:3]]))
+    )
+    rows = both.select(*[OWN(c) for c in PAIR[:3]], (~alone).alias("hub"), found.alias("found"))
+    return rows.select(*PAIR[:3], "hub", F.inline("found").alias(*PAIR[3:])).distinct()
+
+
+def _matches(pairs: DataFrame, texts: DataFrame, words_of, percent: int) -> DataFrame:
+    """The distinct `sid` of pairs whose full sets reach the similarity."""
+    ends = F.array(F.struct("doc", "line"), F.struct(F.col("o_doc").alias("doc"), F.col("o_line").alias("line")))
+    asked = pairs.select(F.inline(ends)).groupBy("doc").agg(F.collect_set("line").alias("lines"))
+    asked = stored(asked, "asked")
+    asked = broadcast_if_small(asked, F.size("lines") * 4 + 64)
+    asked_for = texts.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).join(asked, "doc")
+    found = stored(
+        asked_for.select("text", "lines").mapInArrow(words_of, "sid long, words array<long>"), "words"
     )
     other = found.withColumnsRenamed({"sid": "o_sid", "words": "o_words"})
-    both = pairs.join(found, "sid").join(other, "o_sid")
+    both = pairs.select("sid", "o_sid").distinct().join(found, "sid").join(other, "o_sid")
     shared = F.size(F.array_intersect("words", "o_words"))
     total = F.size("words") + F.size("o_words")
     return both.filter((100 + percent) * shared >= percent * total).select("sid").distinct()
@@ -234,70 +321,35 @@ def removed_lines(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_key", F.xxhash64("text"))
     head = frequent_words(texts, head_words)
-    lines = cut(texts.mapInArrow(_lines(head, percent, least_words), LINES))
-    key = ["n", "d1", "d2"]
-    # A null id comes last.
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "text_key")
-    sets = cut(
-        lines.groupBy(*key)
+    lines = stored(texts.mapInArrow(_lines(head, percent, least_words), LINES), "lines")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "text_key")
+    sets = stored(
+        lines.groupBy("sid", "n")
         .agg(
-            F.min(order).alias("first"),
-            F.first("p0").alias("p0"),
-            F.first("p1").alias("p1"),
+            F.min(place).alias("first"),
+            F.first("bits").alias("bits"),
             F.first("prefix").alias("prefix"),
+            (F.count("*") > 1).alias("again"),
         )
-        .select(F.col("d1").alias("sid"), "n", "p0", "p1", "prefix", "first.*", "d2")
-    )
-    # Sets with a place in the order that fits in two numbers; ties go by the set's hash.
-    when = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)).alias("doc"), "line", "sid")
-    spots = sets.select(
-        F.posexplode("prefix").alias("pos", "word"), "n", "p0", "p1", when.alias("when")
-    )
-    holders = spots.groupBy("word").agg(
-        F.min(F.struct("when", "n", "p0", "p1", "pos")).alias("o"), F.count("*").alias("holders")
+        .select("sid", "n", "bits", "prefix", "again", "first.*"),
+        "sets",
     )
-    holders = holders.filter("holders > 1").select(
-        "word",
-        F.col("o.when").alias("o_when"),
-        *[F.col(f"o.{c}").alias(f"o_{c}") for c in ("n", "p0", "p1", "pos")],
-    )
-    shared = cut(spots.join(holders, "word"))
-    fits = _overlap_possible(percent)
-    near = shared.filter((F.col("o_when") < F.col("when")) & fits)
-    near = cut(near.select(F.col("when.sid").alias("sid"), F.col("o_when.sid").alias("o_sid")).distinct())
-    own = [c for c in shared.columns if not c.startswith("o_")]
-    spots = shared.select(*own)
-    others = spots.withColumnsRenamed({c: f"o_{c}" for c in own if c != "word"})
-
     words_of = _words_of(head, least_words)
-
-    def against_all(rows: DataFrame) -> DataFrame:
-        """Pairs with every earlier holder, each at its first shared word only."""
-        limit = _overlap_possible(percent) & _position_possible(percent)
-        earlier = F.col("o_when") < F.col("when")
-        pairs = rows.join(others, "word").filter(earlier & limit)
-        return pairs.select(F.col("when.sid").alias("sid"), F.col("o_when.sid").alias("o_sid")).distinct()
-
-    # Sets that cannot match any first holder, against all holders; one check for both kinds.
-    started = near.select("sid").distinct()
-    unmet = spots.withColumn("sid", F.col("when.sid")).join(started, "sid", "left_anti").select(*own)
-    pairs = cut(near.union(against_all(unmet)))
-    settled = cut(_matches(pairs, sets, texts, words_of, percent))
-    # First holders that looked like a match and were none.
-    failed = cut(started.join(settled, "sid", "left_anti"))
+    pairs = stored(_candidates(sets, percent), "pairs")
+    settled = stored(_matches(pairs, texts, words_of, percent), "settled")
+    # Sets that a first holder looked like a match for and that match none: against all holders.
+    failed = stored(pairs.filter("hub").select("sid").distinct().join(settled, "sid", "left_anti"), "failed")
     if not failed.isEmpty():
-        again = spots.withColumn("sid", F.col("when.sid")).join(failed, "sid", "left_semi").select(*own)
-        rest = cut(against_all(again).join(pairs, ["sid", "o_sid"], "left_anti"))
-        settled = settled.union(_matches(rest, sets, texts, words_of, percent))
-    ruled = sets.join(settled.withColumn("later", F.lit(True)), "sid", "left").select(
-        F.col("sid").alias("d1"), "n", "d2",
-        F.struct("no_id", "doc_id", "line", "text_key").alias("first"),
-        F.coalesce("later", F.lit(False)).alias("later"),
-    )
+        spots = _spots(sets.join(failed, "sid", "left_semi"))
+        others = _spots(sets).join(spots.select("word").distinct(), "word", "left_semi")
+        rest = _pairs(spots, others, percent).distinct()
+        rest = stored(rest.join(pairs.select("sid", "o_sid"), ["sid", "o_sid"], "left_anti").select(*PAIR), "rest")
+        settled = stored(settled.union(_matches(rest, texts, words_of, percent)), "settled")
+    first = sets.join(settled, "sid", "left_semi").select("doc_id", "text_key", "line")
     # A line may stand in a third of all texts: adaptive execution splits that side of the join.
-    gone = lines.select("doc_id", "text_key", "line", *key).join(ruled, key)
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "text_key")
-    gone = gone.filter(F.col("later") | ~place.eqNullSafe(F.col("first")))
+    copied = sets.filter("again").select("sid", "n", place.alias("first"))
+    copies = lines.join(copied, ["sid", "n"]).filter(~place.eqNullSafe(F.col("first")))
+    gone = first.union(copies.select("doc_id", "text_key", "line"))
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("lines"))
 
 
@@ -310,12 +362,13 @@ def deduplicated(docs: DataFrame, percent: int = 80, least_words: int = LEAST_WO
     table stays empty.
     """
     own, key, lost = unused(docs, "own_id", "own_key", "lost")
-    gone = removed_lines(docs, percent, least_words).toDF(own, key, lost)
+    gone = stored(removed_lines(docs, percent, least_words).toDF(own, key, lost), "gone")
+    gone = broadcast_if_small(gone, F.size(lost) * 4 + 64)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col(own)) & (F.xxhash64(text) == F.col(key))
     both = docs.join(gone, same, "left")
     rest = F.filter(
-        F.split("text", "\n"), lambda line, k: ~F.array_contains(lost, k.cast("long"))
+        F.split("text", "\n"), lambda line, k: ~F.array_contains(lost, k.cast("int"))
     )
     text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     removed = F.coalesce(F.size(lost), F.lit(0)).cast("long")
