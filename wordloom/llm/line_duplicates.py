@@ -35,8 +35,7 @@ HEAD_WORDS = 1 << 16
 LEAST_WORDS = 5
 COUNT_RUN_BYTES = 8 << 20
 MOST_COUNTS = 4_000_000
-HUBS = (1, 2, 4, 8, 16, 32)
-MOST_WITNESSES = 2
+HUBS = (1, 2, 4, 8)
 NO_ID = 2**63 - 1
 
 
@@ -124,7 +123,7 @@ def _prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
     return sizes - -(-sizes * percent // 100) + 1
 
 
-LINES = "doc_id long, text_key long, line int, n int, sid long, bits long, prefix array<int>"
+LINES = "doc_id long, text_key long, line int, n int, sid long, bits long, bits2 long, prefix array<int>"
 
 
 def _set_ids(values, owner, sizes) -> np.ndarray:
@@ -145,9 +144,12 @@ def _lines(head: np.ndarray, percent: int, least_words: int):
                 with np.errstate(over="ignore"):
                     mixed = mix(values + U64(0x2545F491))
                 first = np.cumsum(sizes) - sizes
-                bits = np.zeros(len(sizes), U64)
+                bit, half = U64(1) << (mixed & U64(63)), (mixed >> U64(6)) & U64(1)
+                bits = [np.zeros(len(sizes), U64)] * 2
                 if len(values):
-                    bits = np.bitwise_xor.reduceat(U64(1) << (mixed & U64(63)), first)
+                    bits = [
+                        np.bitwise_xor.reduceat(np.where(half == k, bit, U64(0)), first) for k in (0, 1)
+                    ]
                 few = _prefix_sizes(sizes, percent)
                 among = np.arange(len(values)) - first[owner] < few[owner]
                 short = (mixed[among] >> U64(32)).astype(np.uint32).view(np.int32)
@@ -157,7 +159,7 @@ def _lines(head: np.ndarray, percent: int, least_words: int):
                         pa.array(number.astype(np.int32)),
                         pa.array(sizes.astype(np.int32)),
                         pa.array(_set_ids(values, owner, sizes)),
-                        pa.array(bits.view(np.int64)),
+                        *[pa.array(b.view(np.int64)) for b in bits],
                         lists(short, few),
                     ],
                     LINES.replace(",", "").split()[::2],
@@ -195,7 +197,7 @@ def _words_of(head: np.ndarray, least_words: int):
 
 
 #: What a spot, a set at one of its first words, carries.
-SPOT = ("doc", "line", "sid", "n", "bits", "pos")
+SPOT = ("doc", "line", "sid", "n", "bits", "bits2", "pos")
 PLACE = ("doc", "line", "sid")
 
 
@@ -205,19 +207,23 @@ def _spots(sets: DataFrame) -> DataFrame:
     No column can be null, so joins add no filters below the shuffle, and all readers share it.
     """
     doc = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
-    each = sets.select(F.posexplode("prefix").alias("pos", "word"), doc, "line", "sid", "n", "bits")
-    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("word", "line", "sid", "n", "bits")]
+    each = sets.select(F.posexplode("prefix").alias("pos", "word"), doc, "line", "sid", "n", "bits", "bits2")
+    filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("word", "line", "sid", "n", "bits", "bits2")]
     return each.select("doc", "pos", *filled)
 
 
 def _earlier(own, other) -> Column:
-    return F.struct(*map(other, PLACE)) < F.struct(*map(own, PLACE))
+    same_doc, same_line = other("doc") == own("doc"), other("line") == own("line")
+    later_line = (other("line") < own("line")) | (same_line & (other("sid") < own("sid")))
+    return (other("doc") < own("doc")) | (same_doc & later_line)
 
 
 def _overlap_possible(own, other, percent: int) -> Column:
     """Length filter, and a bound on the overlap by the bits in which the bitmaps differ."""
     n, total = (own("n"), other("n")), own("n") + other("n")
-    apart = F.bit_count(own("bits").bitwiseXOR(other("bits")))
+    apart = F.bit_count(own("bits").bitwiseXOR(other("bits"))) + F.bit_count(
+        own("bits2").bitwiseXOR(other("bits2"))
+    )
     return (100 * F.least(*n) >= percent * F.greatest(*n)) & (
         (100 + percent) * (total - apart) >= 2 * percent * total
     )
@@ -232,9 +238,9 @@ def _position_possible(own, other, percent: int) -> Column:
 
 def _possible(own, other, percent: int) -> Column:
     return (
-        _earlier(own, other)
-        & _overlap_possible(own, other, percent)
+        _overlap_possible(own, other, percent)
         & _position_possible(own, other, percent)
+        & _earlier(own, other)
     )
 
 
@@ -275,18 +281,15 @@ def _candidates(sets: DataFrame, percent: int) -> DataFrame:
         def hub(name, k=k):
             return F.col(f"hub{k}")[name]
 
-        fits = _earlier(F.col, hub) & _overlap_possible(F.col, hub, percent)
+        fits = _overlap_possible(F.col, hub, percent) & _earlier(F.col, hub)
         near.append(F.when(F.coalesce(fits, F.lit(False)), F.struct(*[hub(c) for c in PAIR[:3]])))
-    near = F.slice(F.array_compact(F.array(*near)), 1, MOST_WITNESSES).alias("near")
-    placed = placed.select("word", *SPOT, near)
-    alone = F.size(OWN("near")) == 0
+    placed = placed.select("word", *SPOT, F.coalesce(*near).alias("near"))
+    alone = OWN("near").isNull()
     possible = (OWN("word") == OTHER("word")) & alone & _possible(OWN, OTHER, percent)
     both = placed.alias("own").join(spots.alias("other"), possible, "left")
-    found = F.when(~alone, OWN("near")).when(
-        OTHER("sid").isNotNull(), F.array(F.struct(*[OTHER(c) for c in PAIR[:3]]))
-    )
-    rows = both.select(*[OWN(c) for c in PAIR[:3]], (~alone).alias("hub"), found.alias("found"))
-    return rows.select(*PAIR[:3], "hub", F.inline("found").alias(*PAIR[3:])).distinct()
+    found = [F.coalesce(OWN("near")[c], OTHER(c)).alias(f"o_{c}") for c in PAIR[:3]]
+    rows = both.select(*[OWN(c) for c in PAIR[:3]], *found, (~alone).alias("hub"))
+    return rows.filter("o_sid IS NOT NULL").distinct()
 
 
 def _matches(pairs: DataFrame, texts: DataFrame, words_of, percent: int) -> DataFrame:
@@ -328,10 +331,11 @@ def removed_lines(
         .agg(
             F.min(place).alias("first"),
             F.first("bits").alias("bits"),
+            F.first("bits2").alias("bits2"),
             F.first("prefix").alias("prefix"),
             (F.count("*") > 1).alias("again"),
         )
-        .select("sid", "n", "bits", "prefix", "again", "first.*"),
+        .select("sid", "n", "bits", "bits2", "prefix", "again", "first.*"),
         "sets",
     )
     words_of = _words_of(head, least_words)
