@@ -182,6 +182,20 @@ def test_the_model_is_the_gaussian_of_each_class(spark):
     assert np.allclose(model.margins(point), want)
 
 
+def test_statistics_do_not_depend_on_block_or_run(monkeypatch):
+    import pyarrow as pa
+
+    from wordloom.llm.bytewise import WordHasher, byte_view
+
+    texts = ["Some words, and MORE!! words\n" * k for k in range(40)] + ["", "é ü 日本 12 | $$"]
+    data, offsets = byte_view(pa.array(texts))
+    whole = quality.statistics(data, offsets, WordHasher())
+    one = [quality.statistics(*byte_view(pa.array([t])), WordHasher())[0] for t in texts]
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 17)
+    assert np.allclose(quality.statistics(data, offsets, WordHasher()), whole)
+    assert np.allclose(one, whole) and np.isfinite(whole).all()
+
+
 def test_quality_of_odd_rows(spark):
     docs = frame(spark, odd_rows(), ODD)
     for labels in ([(1, 1), (2, 0), (5, None), (None, 1)], [(1, 1)], []):

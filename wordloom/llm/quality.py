@@ -28,6 +28,7 @@ FEATURES = (
 SHRINKAGE = 0.1
 THRESHOLD = 0.7
 BINS = 9  # kinds of bytes told apart
+BLOCK_BYTES = 1 << 20
 
 
 def _kinds() -> np.ndarray:
@@ -47,9 +48,12 @@ def _kinds() -> np.ndarray:
 def statistics(data: np.ndarray, offsets: np.ndarray, hasher: WordHasher) -> np.ndarray:
     """The feature vectors of texts given as bytes; a text without words has defined ones too."""
     n = len(offsets) - 1
-    length = np.diff(offsets)
-    text_of_byte = np.repeat(np.arange(n) * BINS, length)
-    kinds = np.bincount(text_of_byte + _kinds()[data], minlength=n * BINS).reshape(n, BINS)
+    kinds, table = np.zeros(n * BINS, np.int64), _kinds()
+    for a in range(0, len(data), BLOCK_BYTES):
+        length = np.diff(np.clip(offsets, a, a + BLOCK_BYTES))
+        text_of_byte = np.repeat(np.arange(n) * BINS, length)
+        kinds += np.bincount(text_of_byte + table[data[a : a + BLOCK_BYTES]], minlength=n * BINS)
+    kinds = kinds.reshape(n, BINS)
     starts, ends, owner = word_limits(data, offsets)
     words = np.bincount(owner, minlength=n)
     size = (ends - starts).astype(float)
