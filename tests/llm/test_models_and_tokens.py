@@ -44,6 +44,22 @@ def test_ids_are_those_of_the_library(spark, library):
         assert r["ids"] == want and r["text"] == library.decode(want)
 
 
+def test_long_texts_are_encoded_in_parts(library, monkeypatch):
+    import pyarrow as pa
+
+    from wordloom.llm import sentence_pieces
+    from wordloom.llm.bytewise import byte_view
+
+    monkeypatch.setattr(sentence_pieces, "LONG_TEXT", 40)
+    encoder = sentence_pieces.Encoder(sentence_pieces.read_pieces(piece_model()))
+    for text in strange_texts(library, 9)[:900]:
+        data, offsets = byte_view(pa.array([text * 3]))
+        ids, counts = encoder.encode(data, offsets)
+        assert ids.tolist() == library.encode(text * 3) and counts.tolist() == [len(ids)]
+        shown, places = encoder.decode(ids, counts)
+        assert shown.tobytes().decode() == library.decode(ids.tolist())
+
+
 def test_digests_are_those_of_ids_and_texts(spark, folder, library):
     docs = read_table(spark, folder, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.collect()}

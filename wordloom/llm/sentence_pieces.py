@@ -26,6 +26,7 @@ from wordloom.llm.bytewise import U64, byte_view, mix, runs
 SPACE = 0x2581
 NEVER = np.int32(2**31 - 1)
 LONG_WORD = 64
+LONG_TEXT = 4 << 20
 #: Odd, so that it has an inverse modulo 2^64.
 BASE = 0xD1342543DE82EF95
 
@@ -127,6 +128,18 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _cut_after(data: np.ndarray, place: int) -> int:
+    """The first place from `place` on before a space after something else, or the end."""
+    step = 1 << 16
+    for a in range(max(place, 3), len(data), step):
+        part = data[a - 3 : a + step]
+        marked = (part[:-3] == 0xE2) & (part[1:-2] == 0x96) & (part[2:-1] == 0x81)
+        found = np.flatnonzero((part[3:] == 32) & (part[2:-1] != 32) & ~marked)
+        if len(found):
+            return a + int(found[0])
+    return len(data)
+
+
 def _space_run(count: int, sizes: dict[int, int], one: int) -> list[int]:
     """Pieces of `count` spaces: the leftmost piece grows by the next one while it can."""
     out: list[int] = []
@@ -250,7 +263,21 @@ class Encoder:
         return np.concatenate(parts), lengths
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of UTF-8 texts one after the other, without begin and end, and how many each has."""
+        """Ids of UTF-8 texts one after the other, without begin and end, and how many each has.
+
+        A text that is long by itself is encoded part by part, cut before spaces.
+        """
+        if len(offsets) == 2 and len(data) > LONG_TEXT:
+            parts, a = [], 0
+            while a < len(data):
+                b = _cut_after(data, a + LONG_TEXT)
+                parts.append(self._encode(data[a:b], np.array([0, b - a]), a == 0)[0])
+                a = b
+            return np.concatenate(parts), np.array([sum(map(len, parts))])
+        return self._encode(data, offsets)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray, lead: bool = True):
+        """`lead`: a space goes before each text."""
         p = self.p
         n = len(offsets) - 1
         leading = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -258,10 +285,10 @@ class Encoder:
         chars = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
         # A space goes before each text that is not empty.
         some = np.flatnonzero(np.diff(ends) > 0)
-        chars = np.insert(chars, ends[some], ord(" ")).astype(np.int64)
+        chars = (np.insert(chars, ends[some], ord(" ")) if lead else chars).astype(np.int64)
         if not len(chars):
             return np.zeros(0, np.int32), np.zeros(n, np.int64)
-        begins = ends[some] + np.arange(len(some))
+        begins = ends[some] + np.arange(len(some)) * lead
         chars[chars == ord(" ")] = SPACE
         blank = chars == SPACE
         known = p.ids_of_chars[chars] >= 0
@@ -299,7 +326,11 @@ class Encoder:
         """
         p = self.p
         size = np.diff(p.byte_ends)[ids]
-        data = p.bytes[_spread(p.byte_ends[:-1][ids], size)]
+        blocks = [
+            p.bytes[_spread(p.byte_ends[:-1][ids[a : a + LONG_TEXT]], size[a : a + LONG_TEXT])]
+            for a in range(0, len(ids), LONG_TEXT)
+        ]
+        data = np.concatenate([np.zeros(0, np.uint8), *blocks])
         ends = np.concatenate([[0], np.cumsum(size)])
         offsets = ends[np.concatenate([[0], np.cumsum(counts)])]
         some = np.flatnonzero(np.diff(offsets) > 0)
