@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 RUN_TEXTS = 4096
 HASH_BYTES = 1 << 20
 U64 = np.uint64

@@ -33,8 +33,8 @@ from wordloom.llm.tables import broadcast_if_small, stored
 
 HEAD_WORDS = 1 << 16
 LEAST_WORDS = 5
-COUNT_RUN_BYTES = 8 << 20
-MOST_COUNTS = 4_000_000
+COUNT_RUN_BYTES = 4 << 20
+MOST_COUNTS = 1_500_000
 HUBS = (1, 2, 4, 8)
 NO_ID = 2**63 - 1
 

@@ -25,7 +25,7 @@ from wordloom.llm.quality import held_out
 from wordloom.session import cut
 
 HEAD_WORDS = 1 << 18
-COUNT_RUN_BYTES = 8 << 20
+COUNT_RUN_BYTES = 4 << 20
 FIT_ROUNDS = 2
 LEAST_USE = 0.01
 
