@@ -36,6 +36,7 @@ LEAST_WORDS = 5
 COUNT_RUN_BYTES = 4 << 20
 MOST_COUNTS = 1_500_000
 HUBS = (1, 2, 4, 8)
+SPOT_BYTES = 80
 NO_ID = 2**63 - 1
 
 
@@ -344,9 +345,8 @@ def removed_lines(
     # Sets that a first holder looked like a match for and that match none: against all holders.
     failed = stored(pairs.filter("hub").select("sid").distinct().join(settled, "sid", "left_anti"), "failed")
     if not failed.isEmpty():
-        spots = _spots(sets.join(failed, "sid", "left_semi"))
-        others = _spots(sets).join(spots.select("word").distinct(), "word", "left_semi")
-        rest = _pairs(spots, others, percent).distinct()
+        spots = stored(_spots(sets.join(failed, "sid", "left_semi")), "spots")
+        rest = _pairs(broadcast_if_small(spots, F.lit(SPOT_BYTES)), _spots(sets), percent).distinct()
         rest = stored(rest.join(pairs.select("sid", "o_sid"), ["sid", "o_sid"], "left_anti").select(*PAIR), "rest")
         settled = stored(settled.union(_matches(rest, texts, words_of, percent)), "settled")
     first = sets.join(settled, "sid", "left_semi").select("doc_id", "text_key", "line")
