@@ -27,9 +27,9 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 def lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the lines that match an earlier line; what loses all its words goes.
 
-    n_chars, where there, follows the text. A document that lost no line stays as it is.
+    Every line with a word takes part, however short. n_chars, where there, follows the text. A document that lost no line stays as it is.
     """
-    rest = deduplicated(docs)
+    rest = deduplicated(docs, least_words=1)
     gone = (F.col("lines_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     rest = rest.filter(~gone)
     if "n_chars" in docs.columns:

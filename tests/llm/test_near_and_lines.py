@@ -4,6 +4,7 @@ from collections import defaultdict
 import pytest
 from tests_llm_helpers import ODD, frame, odd_rows, words_of
 
+import corpus_pipeline
 from wordloom.llm.components import components
 from wordloom.llm.line_duplicates import deduplicated
 from wordloom.llm.near_duplicates import near_duplicates, one_of_each
@@ -161,3 +162,44 @@ def test_lines_of_odd_rows(spark):
     assert by_id[3] == [(None, 0)] and by_id[4] == [("", 0)] and by_id[5] == [(" \n\t ", 0)]
     assert by_id[7] == [("a b", 0), (rows[11][1], 0)] or by_id[7] == [(rows[11][1], 0), ("a b", 0)]
     assert sorted(by_id[None], key=str) == sorted([("", 1), (rows[8][1], 0), (None, 0)], key=str)
+
+
+def short_line_texts(seed=9):
+    rnd = random.Random(seed)
+    rows = []
+    for k in range(150):
+        own = []
+        for _ in range(rnd.randint(1, 5)):
+            words = rnd.sample("a b c d e f g h i j k".split(), rnd.choice((1, 2, 3, 4, 4, 5, 6)))
+            own.append(" ".join(words + words[:1] * rnd.randint(0, 1)))
+        rows.append((k, "\n".join([*own, *["", " \t"][: k % 3]])))
+    return rows
+
+
+def without_like_lines(rows, percent):
+    seen, want = [], {}
+    for i, text in sorted(rows):
+        rest = []
+        for line in text.split("\n"):
+            own = set(words_of(line))
+            like = own and any(100 * len(own & s) >= percent * len(own | s) for s in seen)
+            if own:
+                seen.append(own)
+            if not like:
+                rest.append(line)
+        want[i] = "\n".join(rest)
+    return want
+
+
+@pytest.mark.parametrize("percent", [100, 80, 60])
+def test_short_lines_take_part_where_asked_for(spark, percent):
+    rows = short_line_texts()
+    got = deduplicated(frame(spark, rows).repartition(4), percent, least_words=1).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == without_like_lines(rows, percent)
+
+
+def test_the_line_stage_takes_out_short_repeats(spark, folder):
+    rows = short_line_texts()
+    got = corpus_pipeline.lines(spark, frame(spark, rows).repartition(4), folder).collect()
+    want = {i: t for i, t in without_like_lines(rows, 80).items() if words_of(t) or t == dict(rows)[i]}
+    assert {r["doc_id"]: r["text"] for r in got} == want

@@ -121,7 +121,10 @@ def _line_sets(part, offsets, hasher, ranks, least_words):
 
 
 def _prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
-    return sizes - -(-sizes * percent // 100) + 1
+    """First words of each set that others are sought by: none where a set of one word more or
+    less is too far off already, so that equal sets only match."""
+    few = sizes - -(-sizes * percent // 100) + 1
+    return np.where(100 * sizes < percent * (sizes + 1), 0, few)
 
 
 LINES = "doc_id long, text_key long, line int, n int, sid long, bits long, bits2 long, prefix array<int>"
@@ -317,7 +320,7 @@ def removed_lines(
 
     Lines stand in the order of doc_id (null last), then number. Two match if their sets of
     distinct words have a Jaccard similarity of `percent` or more; a line with fewer than
-    `least_words` words takes no part. text_key is xxhash64 of the text; rows equal in doc_id and
+    `least_words` words takes no part (1: every line that has a word does). text_key is xxhash64 of the text; rows equal in doc_id and
     text are one text. Texts without such lines have no row. Null texts have no lines.
     """
     texts = docs.select(
