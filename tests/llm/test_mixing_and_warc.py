@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from tests_llm_helpers import frame, words_of
 
-from wordloom.llm.mixing import mix, mixed, targets, word_count
+from wordloom.llm.mixing import MOST_REPEATS, PHI, cyclic_weights, mix, mixed, targets, word_count
 from wordloom.llm.warc import fixity_audit, laid_out, read_archive, write_archive
 
 SOURCED = "doc_id long, text string, source string, size string, s string, begin string"
@@ -64,6 +64,49 @@ def test_mixed_rows_keep_their_columns(spark):
     assert None not in ids and max(ids.count(i) for i in ids) <= 3
 
 
+def dealt(rows, weights, block):
+    """The ids of whole documents in the order of the slots, one word stream of each source after
+    another."""
+    sources = sorted({r[2] for r in rows}, key=lambda s: (s is None, (s or "").encode()))
+    own = {
+        s: sorted(
+            ((r[0], len(words_of(r[1]))) for r in rows if r[2] == s),
+            key=lambda r: (hashlib.md5(f"mix:{r[0]}".encode()).hexdigest(), r),
+        )
+        for s in sources
+    }
+    sizes = [sum(n for _, n in own[s]) for s in sources]
+    quotas = [min(3 * n, int(t + 0.5)) for n, t in zip(sizes, targets(sizes, weights(sources)))]
+    total = sum(quotas)
+    limits = [sum(quotas[: k + 1]) / total for k in range(len(quotas) - 1)]
+    turns = [[] for _ in sources]
+    for slot in range(-(-total // block)):
+        turns[sum(limit <= slot * PHI % 1.0 for limit in limits)].append(slot)
+    found = []
+    for k, s in enumerate(sources):
+        mine = turns[k] or [-(-total // block) + k]
+        each, p, first = max(1, -(-quotas[k] // len(mine))), 0, True
+        for doc_id, n in own[s] * MOST_REPEATS:
+            if n and p < quotas[k] and (first or 2 * min(n, quotas[k] - p) >= n):
+                found.append((mine[p // each], p, doc_id))
+            p, first = p + n, first and not n
+    return [doc_id for *_, doc_id in sorted(found)]
+
+
+@pytest.mark.parametrize("block", [16, 64, 2048])
+def test_mixed_rows_stand_as_the_schedule_deals_them(spark, block):
+    rows = sourced()[:-2] + [(r[0], r[1], r[2], "again", "y", "z") for r in sourced()[40:60]]
+    got = mixed(frame(spark, rows, SOURCED).repartition(5), block=block).collect()
+    assert [r["doc_id"] for r in got] == dealt(rows, cyclic_weights, block)
+
+
+def test_a_source_whose_first_document_exceeds_its_quota_gives_it(spark):
+    rows = [(k, "w " * 10, "a", "", "", "") for k in range(200)] + [(500, "long " * 900, "b", "", "", "")]
+    weights = lambda names: [1.0, 0.1]
+    got = [r["doc_id"] for r in mixed(frame(spark, rows, SOURCED), weights, block=64).collect()]
+    assert got.count(500) == 1 and got == dealt(rows, weights, 64)
+
+
 def test_words_are_counted_between_ascii_white_space(spark):
     texts = ["", " ", "a", " a b\x0b\nc ", "é\x00x  y\t", None, "a\n"]
     got = frame(spark, list(enumerate(texts))).select("doc_id", word_count(F.col("text")).alias("n"))

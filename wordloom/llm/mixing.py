@@ -10,10 +10,12 @@ source, however large, meets in one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wordloom.llm.names import unused
 from wordloom.llm.places import constants, place
@@ -159,6 +161,14 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def _planned(docs: DataFrame, weights, block: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of docs in the streams of their sources, and the schedule."""
+    rows = cut(sized(docs))
+    sources = Sources(rows, weights)
+    placed = cut(streams(rows, sources, seed))
+    return placed, schedule(placed, sources, block)
+
+
 def mix(
     docs: DataFrame,
     weights: Callable[[list], list[float]] = cyclic_weights,
@@ -174,10 +184,7 @@ def mix(
     stand by size. Rows that repeat one another take their own places. An empty table gives empty
     tables. Extra columns are ignored. The same rows give the same mixture.
     """
-    rows = cut(sized(docs))
-    sources = Sources(rows, weights)
-    placed = cut(streams(rows, sources, seed))
-    plan = schedule(placed, sources, block)
+    placed, plan = _planned(docs, weights, block, seed)
     taken = plan.groupBy("s", "begin").agg(F.sum("words").alias("words"))
     # An empty document begins where the next one does.
     both = placed.withColumn("some", F.col("size") > 0).join(
@@ -190,24 +197,46 @@ def mix(
     return table, plan
 
 
-def mixed(docs: DataFrame, weights=cyclic_weights, block: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
-    """docs as the mixture takes them: each row as often as passes over its source's stream take
-    at least half of its words, so never or up to three times, with all columns as they are.
+def copies(placed: DataFrame, plan: DataFrame) -> DataFrame:
+    """(s, begin, times): for each document that the schedule takes whole, the (slot, pass) in which
+    its copies begin.
 
-    Rows equal in doc_id and text get the same number of copies.
+    A pass takes a document if it takes at least half of its words. The first document of a stream
+    is taken once at least, so no source with a quota goes without.
     """
-    table, _ = mix(docs, weights, block, seed)
-    half = F.col("begin") + F.expr("(size + 1) div 2")
-    passes = [
-        (half + k * F.col("source_size") <= F.col("quota")).cast("int") for k in range(MOST_REPEATS)
-    ]
-    copies = F.when(F.col("size") > 0, sum(passes)).otherwise(0)
-    own, key, times, copy = unused(docs, "own_id", "own_key", "times", "copy")
-    wanted = table.groupBy(F.col("doc_id").alias(own), F.col("text_key").alias(key)).agg(
-        F.max(copies).alias(times)
+    each = plan.groupBy("s", "begin", "pass").agg(
+        F.sum("words").alias("words"), F.min(F.when(F.col("first_word") == 0, F.col("slot"))).alias("slot")
     )
-    same = F.col("doc_id").eqNullSafe(F.col(own)) & (
-        F.xxhash64(F.col("text").cast("string")) == F.col(key)
+    sizes = placed.filter("size > 0").select("s", "begin", "size")
+    whole = (2 * F.col("words") >= F.col("size")) | ((F.col("begin") == 0) & (F.col("pass") == 0))
+    found = each.join(sizes, ["s", "begin"]).filter(whole)
+    return found.groupBy("s", "begin").agg(F.collect_list(F.struct("slot", "pass")).alias("times"))
+
+
+def mixed(docs: DataFrame, weights=cyclic_weights, block: int = BLOCK_WORDS, seed: str = SEED) -> DataFrame:
+    """docs as the mixture takes them, with all columns as they are: each row as often as passes
+    over its source's stream take at least half of its words, so never or up to three times, and the
+    first of each source with a quota once at least.
+
+    Rows stand in the order of the slots in which they begin, within a slot as in the stream. Rows
+    equal in doc_id, text and source each get a place of their own.
+    """
+    placed, plan = _planned(docs, weights, block, seed)
+    same, nth, places, found, row = unused(docs, "same", "nth", "places", "found", "row")
+    # Nulls are equal inside of structs.
+    wanted = placed.filter("size > 0").join(copies(placed, plan), ["s", "begin"], "left")
+    wanted = wanted.groupBy(F.struct("doc_id", "source", "text_key").alias(same)).agg(
+        F.sort_array(F.collect_list(F.struct("begin", "s", "times"))).alias(places)
     )
-    rows = docs.join(wanted.filter(F.col(times) > 0), same)
-    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+    wanted = wanted.filter(F.exists(places, lambda p: p["times"].isNotNull()))
+    text, source = F.col("text").cast("string"), F.col("source").cast("string")
+    key = F.struct("doc_id", source.alias("source"), F.xxhash64(text).alias("text_key"))
+    rows = docs.select(F.struct(*docs.columns).alias(row), key.alias(same)).filter(F.length(text) > 0)
+    # One row nearly always: more are rows that repeat one another.
+    hashed = [F.col(row)[c] for c, kind in docs.dtypes if not re.search("map<|variant", kind)]
+    order = Window.partitionBy(same).orderBy(F.xxhash64(*hashed))
+    rows = rows.withColumn(nth, F.row_number().over(order)).join(wanted, same)
+    rows = rows.withColumn(found, F.get(places, F.col(nth) - 1))
+    rows = rows.select(row, F.col(found)["begin"].alias("begin"), F.explode(F.col(found)["times"]).alias("time"))
+    rows = rows.orderBy("time.slot", "time.pass", "begin")
+    return rows.select(*[F.col(row)[c].alias(c) for c in docs.columns])
