@@ -101,5 +101,52 @@ rest AS (
   FROM lines LEFT JOIN gone ON gone.doc_id = lines.doc_id AND gone.number = lines.number
   GROUP BY lines.doc_id)
 SELECT doc_id, lines_removed, length(text) AS n_chars_left, sha256(text) AS text_sha256 FROM rest
+""",
+    "op11_sorted_list_search": """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+pairs AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
+  FROM vectors q JOIN vectors v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM pairs WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+""",
+    "op13_phrase_graph": r"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[.,;:!?\n-\r]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, m, array_to_string(words[i : i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, words, m, unnest(range(1, len(words) - m + 2)) AS i
+        FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS m))),
+totals AS (SELECT lang, count(*) AS n FROM grams WHERE m = 1 GROUP BY lang),
+often AS (SELECT lang, m, phrase, count(*) AS f FROM grams GROUP BY lang, m, phrase HAVING f >= 30),
+cuts AS (
+  SELECT lang, m, phrase, f AS a, k, string_split(phrase, ' ') AS words
+  FROM often, (SELECT unnest([1, 2, 3]) AS k) WHERE k < m),
+parts AS (
+  SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, CAST(a AS HUGEINT) * 2000000 // (l.f + r.f) AS score
+  FROM cuts c
+  JOIN often l ON l.lang = c.lang AND l.phrase = array_to_string(words[1 : k], ' ')
+  JOIN often r ON r.lang = c.lang AND r.phrase = array_to_string(words[k + 1 : c.m], ' ')),
+weakest AS (
+  SELECT * FROM parts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, array_to_string(words[i : i + size - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT lang, f, words, size, unnest(range(1, m - size + 2)) AS i
+        FROM (SELECT lang, m, f, string_split(phrase, ' ') AS words FROM often),
+             (SELECT unnest([2, 3]) AS size) WHERE size < m)
+  GROUP BY ALL)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank,
+       w.phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM weakest w JOIN totals USING (lang)
+LEFT JOIN longer ON longer.lang = w.lang AND longer.phrase = w.phrase
+WHERE NOT 100 * coalesce(longer.f, 0) >= 80 * a
+QUALIFY rank <= 2000
 """,
 }

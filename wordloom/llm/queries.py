@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wordloom.llm.collocations import collocations
 from wordloom.llm.exact_duplicates import exact_duplicates
 from wordloom.llm.fingerprints import fingerprints_with_edits
 from wordloom.llm.line_duplicates import deduplicated
@@ -15,7 +16,9 @@ from wordloom.llm.quality import quality_scores
 from wordloom.llm.scoring import language_scores
 from wordloom.llm.sentence_pieces import digests
 from wordloom.llm.sharding import shards
+from wordloom.llm.top_inner_products import top_inner_products
 from wordloom.llm.warc import fixity_audit, laid_out
+from wordloom.llm.whitening import whitened
 from wordloom.sources.reviews import read_table
 
 
@@ -87,6 +90,21 @@ def op10_quality_classifier(spark, folder):
     return quality_scores(documents(spark, folder), read_table(spark, folder, "labels"))
 
 
+def op11_sorted_list_search(spark, folder):
+    """Every hundredth vector's ten greatest inner products with all others."""
+    rows = read_table(spark, folder, "embeddings")
+    return top_inner_products(rows, F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+def op12_block_whitening(spark, folder):
+    rows = read_table(spark, folder, "embeddings")
+    return whitened(rows, scale=256, components=4)
+
+
+def op13_phrase_graph(spark, folder):
+    return collocations(documents(spark, folder), least=30, most=2000, share=80)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -100,5 +118,8 @@ QUERIES = {
         op8_line_dedup,
         op9_sentence_pieces,
         op10_quality_classifier,
+        op11_sorted_list_search,
+        op12_block_whitening,
+        op13_phrase_graph,
     )
 }
