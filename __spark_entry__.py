@@ -24,6 +24,7 @@ from wordloom.plans.runlog import RunLog, compare_runs
 from wordloom.session import cut, new_folder
 from wordloom.sources import reviews as R
 from wordloom.sources import sinks, stages
+from wordloom.sources.split_csv import read_split_csv
 from wordloom.streaming.scoring import arriving_texts, start_scoring
 
 SMALLEST = "/root/testdata/sf0.001"
@@ -175,6 +176,15 @@ def csv_reviews(spark, folder):
     return table.withColumn("split", F.col("split").cast("string"))
 
 
+def csv_split_documents(spark, folder):
+    """All documents written as delimited files, with the line breaks and quotes of their texts,
+    and read back by as many tasks as the files have blocks."""
+    path = new_folder(spark, "csv")
+    sinks.write_table(R.read_table(spark, folder, "documents").select("doc_id", "text", "source"), path)
+    table = read_split_csv(spark, path)
+    return table.withColumn("doc_id", F.col("doc_id").cast("bigint"))
+
+
 def prepared_by_split(spark, folder):
     labels = R.read_table(spark, folder, "labels").select(
         "doc_id", F.col("quality").cast("int").alias("label")
@@ -691,6 +701,7 @@ QUERIES = {
         mixed_labels_typed, label_rejects, page_steps, page_classic, page_pipeline_cleaning,
         clean_blanked, blanked_status, compare_smoothings, nb_three_classes, lr_optimality,
         forest_stump, training_run,
+        csv_split_documents,
         nb_bow_scores, nb_tfidf_scores, tfidf_unsupervised_vocabulary, evaluate_saved_model,
     )
 }

@@ -486,6 +486,7 @@ FROM clean_documents d LEFT JOIN
   (SELECT doc_id, label, {bucket(42, 100)} < 20 AS held_out FROM clean_reviews) r
   ON d.doc_id = r.doc_id"""
     ),
+    "csv_split_documents": "SELECT doc_id, text, source FROM documents",
     "csv_reviews": query("SELECT text, label, 'train' AS split FROM clean_reviews"),
     # models
     "nb_priors": query(

@@ -93,10 +93,11 @@ def score_classes(docs: DataFrame, priors: DataFrame, likelihoods: DataFrame, *k
     """(keys, label, joint, probability) per cleaned text and class, for any number of classes.
 
     `joint` is the log of prior times likelihood. The weights (vocabulary x classes) are broadcast;
-    one partly summed row per text is shuffled, with the classes as an array.
+    one partly summed row per text is shuffled, with the classes as an array. More than
+    `MOST_CLASSES` are an error, as each is a column.
     """
     keys = keys or ("doc_id",)
-    classes = [r.label for r in priors.select("label").orderBy("label").limit(MOST_CLASSES).collect()]
+    classes = label_classes(priors)
     weight = F.col("theta_bow") + F.col("theta_tfidf") * F.col("idf")
     wide = likelihoods.groupBy("word").agg(
         *[F.sum(F.when(F.col("label") == c, weight)).alias(f"w{k}") for k, c in enumerate(classes)]

@@ -71,8 +71,11 @@ def area_under_roc(scored: DataFrame, score: str) -> DataFrame:
 
     Rows with equal scores are summed first, so a value shared by many rows is one row when
     the scores are ordered; the order itself is taken chunk by chunk. 0.0 for a single class.
+    Rows without a label are left out; a label other than 0 and 1 is an error, as one score
+    ranks two classes.
     """
-    positive = F.col("label") == 1
+    scored = scored.filter(F.col("label").isNotNull())
+    positive = two_class(F.col("label"))
     steps = scored.groupBy(F.col(score).alias("score")).agg(
         F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")
     )
@@ -86,13 +89,31 @@ def area_under_roc(scored: DataFrame, score: str) -> DataFrame:
     )
 
 
+def two_class(label: Column) -> Column:
+    """Whether a label is 1 and not 0; any other is an error."""
+    other = F.raise_error(F.concat(F.lit("labels 0 and 1 are needed, not "), label.cast("string")))
+    return F.when(label == 1, True).when(label == 0, False).otherwise(other.cast("boolean"))
+
+
 def log_loss(predictions: DataFrame) -> DataFrame:
-    """(metric, value): the mean cross-entropy of the probability given to the true label."""
-    of_label = F.when(F.col("label") == 1, F.col("probability_positive")).otherwise(
-        F.col("probability_negative")
-    )
+    """(metric, value): the mean cross-entropy of the probability given to the true label.
+
+    Probabilities are `probability_negative` and `probability_positive`, or `probability_0` and so
+    on for any number of classes. A label that has none is an error; rows without a label are
+    left out.
+    """
+    named = {"negative": 0, "positive": 1}
+    of_label = F.raise_error(
+        F.concat(F.lit("no probability column for label "), F.col("label").cast("string"))
+    ).cast("double")
+    for column in predictions.columns:
+        name = column.removeprefix("probability_")
+        if column != name and (name in named or name.isdigit()):
+            there = F.col("label") == named.get(name, int(name) if name.isdigit() else None)
+            of_label = F.when(there, F.col(column)).otherwise(of_label)
     loss = F.avg(-F.log(F.greatest(of_label, F.lit(LOG_FLOOR))))
-    return predictions.agg(F.lit("log_loss").alias("metric"), loss.alias("value"))
+    some = predictions.filter(F.col("label").isNotNull())
+    return some.agg(F.lit("log_loss").alias("metric"), loss.alias("value"))
 
 
 def all_metrics(predictions: DataFrame, score: str, wanted) -> DataFrame:

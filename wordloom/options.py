@@ -22,6 +22,8 @@ class Options:
     use_bow: bool = True
     use_tfidf: bool = True
     ngram_range: tuple[int, int] = (1, 2)
+    # The longest n-gram that gets a feature beside the single words.
+    feature_ngrams: int = 1
     max_features: int = 5_000
     sequence_length: int = 256
     # models

@@ -56,8 +56,15 @@ def evaluate(
 
 
 def exact_auc(scored: DataFrame, column: str) -> float:
-    """Area under ROC over every distinct score; 0.0 when only one class is present."""
-    if scored.select("label").distinct().count() < 2:
+    """Area under ROC over every distinct score; 0.0 when only one class is present.
+
+    Rows without a label are left out; a label other than 0 and 1 is an error.
+    """
+    scored = scored.filter(F.col("label").isNotNull())
+    found = {row.label for row in scored.select("label").distinct().limit(3).collect()}
+    if found - {0, 1}:
+        raise ValueError(f"labels 0 and 1 are needed, not {sorted(found)}")
+    if len(found) < 2:
         return 0.0
     evaluator = BinaryClassificationEvaluator(
         rawPredictionCol=column, metricName="areaUnderROC", numBins=0

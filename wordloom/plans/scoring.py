@@ -49,9 +49,12 @@ def score_text(model: PipelineModel, spark, text: str):
     return score_table(model, literal_text(spark, text), "text").first()
 
 
-def score_file(model: PipelineModel, spark, path: str, output: str | None = None) -> DataFrame:
+def score_file(
+    model: PipelineModel, spark, path: str, output: str | None = None, multi_line: bool = True
+) -> DataFrame:
     """Score a delimited file with a `text` column, to CSV files or to the console."""
-    scored = score_table(model, usable(read_csv(spark, path)), "text")
+    docs = read_csv(spark, path, multi_line=multi_line)
+    scored = score_table(model, usable(docs), "text")
     emit_predictions(scored, output)
     return scored
 

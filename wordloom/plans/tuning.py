@@ -14,6 +14,7 @@ from pyspark.util import inheritable_thread_target
 
 from wordloom.operators.splits import with_fold
 from wordloom.options import Options
+from wordloom.plans.bayes_folds import cross_validated_bayes
 from wordloom.plans.pipeline import (
     ITERATIVE,
     create_classifier,
@@ -64,7 +65,13 @@ def cross_validate(
     fold's vectors are stored because every grid point reads them. With `leaky` one vocabulary
     fitted on all rows serves every fold. `unsupervised` texts (doc_id, text) take part in every
     vocabulary and its weights. Rows without a label are left out.
+
+    Naive Bayes over single words goes without fits by fold: `bayes_folds` takes all averages
+    from counts.
     """
+    name = algorithm or options.algorithm
+    if name == "naive_bayes" and options.feature_ngrams == 1:
+        return _validated_bayes(train, options, leaky, unsupervised)
     train = labelled(train)
 
     def words_of(rows: DataFrame):
@@ -77,7 +84,6 @@ def cross_validate(
         vectors = prepare(features, folded, "doc_id", "fold")
         return placed(vectors, options) if name in ITERATIVE else cut(vectors)
 
-    name = algorithm or options.algorithm
     estimator = create_classifier(name, options)
     grid = param_grid(estimator, name)
     evaluator = MulticlassClassificationEvaluator(metricName="accuracy")
@@ -104,12 +110,30 @@ def cross_validate(
                 totals[i] += value
 
     averages = [total / options.cv_folds for total in totals]
-    best = max(range(len(grid)), key=lambda i: averages[i])
     everything = prepare(whole, train, "doc_id")
     everything = placed(everything, options) if name in ITERATIVE else everything
-    model = estimator.fit(everything, grid[best])
+    return _refitted(estimator, grid, averages, whole, everything, options)
+
+
+def _refitted(estimator, grid, averages, features, vectors, options) -> Tuned:
+    best = max(range(len(grid)), key=lambda i: averages[i])
+    model = estimator.fit(vectors, grid[best])
     named = [{param.name: value for param, value in point.items()} for point in grid]
-    return Tuned(for_raw_text(whole, model, options), named[best], named, averages)
+    return Tuned(for_raw_text(features, model, options), named[best], named, averages)
+
+
+def _validated_bayes(train, options, leaky, unsupervised) -> Tuned:
+    estimator = create_classifier("naive_bayes", options)
+    grid = param_grid(estimator, "naive_bayes")
+    # Read once from the source: the counts, the scores and the last fit go over this copy.
+    rows = cut(with_fold(labelled(train), options).select("doc_id", "text", "label", "fold"))
+    smoothings = [point[estimator.smoothing] for point in grid]
+    averages = cross_validated_bayes(rows, smoothings, options, leaky, unsupervised)
+    texts = rows.select("doc_id", "text")
+    if unsupervised is not None:
+        texts = texts.unionByName(unsupervised.select("doc_id", "text"))
+    features = fit_features(rows, options, fit_vocabulary(texts, options), cleaned=True)
+    return _refitted(estimator, grid, averages, features, prepare(features, rows), options)
 
 
 def tuning_metrics(tuned: Tuned) -> dict[str, float]:

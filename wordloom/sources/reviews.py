@@ -9,20 +9,24 @@ from pyspark.sql import functions as F
 
 from wordloom.functions.cleaning import classic_clean, with_clean_text
 from wordloom.session import new_folder
+from wordloom.sources.split_csv import read_split_csv
 from wordloom.sources.stages import write_prepared
 
 RAW_COLUMNS = ("text", "label")
 
 
 def read_csv(
-    spark: SparkSession, path: str, header: bool = True, multi_line: bool = True
+    spark: SparkSession, path: str, header: bool = True, multi_line: bool = True, split: bool = True
 ) -> DataFrame:
     """A delimited file as strings; quoted fields may hold doubled quotes and line breaks.
 
     With a header, columns go by their names in the file; without one the first two columns
-    are the text and the label. Quoted line breaks keep a file in one task; where no field has
-    any, `multi_line=False` lets large files split.
+    are the text and the label. Large files are read by many tasks. That takes two passes over
+    the text where fields may have line breaks; `split=False` reads such a file in one pass and
+    one task, in the order of its rows, and `multi_line=False` is for files without any.
     """
+    if multi_line and split:
+        return read_split_csv(spark, path, header, None if header else RAW_COLUMNS)
     reader = (
         spark.read.option("header", header)
         .option("multiLine", multi_line)
@@ -63,8 +67,7 @@ def load_splits(
     """Delimited files, one per split, as one stored table (doc_id, text, label, split).
 
     The files hold no ids, so rows get theirs here, once, and keep them in the stored table.
-    Everything after reads that table, which also splits where quoted line breaks keep a CSV
-    file in one task.
+    Everything after reads that table.
     """
     parts = [
         typed_reviews(read_csv(spark, path, header, multi_line)).withColumn("split", F.lit(split))
@@ -76,10 +79,16 @@ def load_splits(
 
 
 def load_reviews(
-    spark: SparkSession, path: str, split: str, clean=classic_clean, header: bool = True
+    spark: SparkSession,
+    path: str,
+    split: str,
+    clean=classic_clean,
+    header: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """One delimited review file, stored below the shared folder."""
-    return load_splits(spark, new_folder(spark, "reviews"), clean, header, **{split: path})
+    folder = new_folder(spark, "reviews")
+    return load_splits(spark, folder, clean, header, multi_line, **{split: path})
 
 
 def literal_text(spark: SparkSession, *texts: str) -> DataFrame:
