@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from oracles import ORACLES
 from wordloom import Options
 from wordloom.functions import cleaning as C
-from wordloom.operators import bayes, metrics, pairs, sequences, splits, tfidf, wordstats
+from wordloom.operators import bayes, metrics, ngrams, pairs, sequences, splits, tfidf, wordstats
 from wordloom.plans import evaluation, pipeline, scoring, training, tuning
 from wordloom.plans.runlog import RunLog, compare_runs
 from wordloom.session import cut, new_folder
@@ -338,6 +338,27 @@ def assembled_features(spark, folder):
     return rounded(scoring.vector_entries(stored, "features", "doc_id"))
 
 
+TWO_WORDS = Options(feature_ngrams=2)
+
+
+def ngram_vocabulary(spark, folder):
+    return rounded(ngrams.ngram_vocabulary(clean_documents(spark, folder), TWO_WORDS))
+
+
+def ngram_tfidf(spark, folder):
+    docs = R.clean_reviews(spark, folder)
+    return rounded(ngrams.ngram_tfidf(docs, ngrams.ngram_vocabulary(docs, TWO_WORDS), TWO_WORDS))
+
+
+def ngram_features(spark, folder):
+    """Vectors of words and word pairs from the pipeline that is saved, raw text in."""
+    docs = R.clean_reviews(spark, folder)
+    vocab = pipeline.fit_vocabulary(docs, TWO_WORDS)
+    model = pipeline.fit_features(docs, TWO_WORDS, vocab)
+    vectors = pipeline.prepare(model, R.reviews(spark, folder), "doc_id")
+    return rounded(scoring.vector_entries(vectors, "features", "doc_id"))
+
+
 def hash_split(spark, folder):
     docs = splits.with_fold(R.clean_reviews(spark, folder))
     return docs.select(
@@ -701,7 +722,7 @@ QUERIES = {
         mixed_labels_typed, label_rejects, page_steps, page_classic, page_pipeline_cleaning,
         clean_blanked, blanked_status, compare_smoothings, nb_three_classes, lr_optimality,
         forest_stump, training_run,
-        csv_split_documents,
+        csv_split_documents, ngram_vocabulary, ngram_tfidf, ngram_features,
         nb_bow_scores, nb_tfidf_scores, tfidf_unsupervised_vocabulary, evaluate_saved_model,
     )
 }

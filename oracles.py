@@ -108,6 +108,29 @@ terms AS (
   SELECT w.doc_id, w.word, v.index, v.idf, CAST(count(*) AS BIGINT) AS tf
   FROM words w JOIN vocab v ON w.word = v.word GROUP BY ALL
 )""")
+
+
+def grams_of(docs: str, words: str) -> tuple[str, ...]:
+    """Kept words and pairs of neighbouring kept words, and the vocabulary of both."""
+    return (words_of(docs, words), f"""
+kept_words AS (SELECT doc_id, pos, word FROM {words} WHERE {kept()}),
+grams AS (
+  SELECT doc_id, word, 1 AS m FROM kept_words
+  UNION ALL
+  SELECT doc_id, word || ' ' || following, 2 FROM (
+    SELECT doc_id, word, lead(word) OVER (PARTITION BY doc_id ORDER BY pos) AS following
+    FROM kept_words) WHERE following IS NOT NULL
+),
+gram_counts AS (
+  SELECT word, m, count(*) AS total_count, count(DISTINCT doc_id) AS doc_freq
+  FROM grams GROUP BY word, m
+)""", bounded("gram_counts", docs, "gram_bounds"), vocab_of("gram_bounds", docs, "gram_vocab"), """
+gram_terms AS (
+  SELECT g.doc_id, g.word, v.index, v.idf, CAST(count(*) AS BIGINT) AS tf
+  FROM grams g JOIN gram_vocab v ON g.word = v.word GROUP BY ALL
+)""")
+
+
 TOP_K = "ORDER BY total_count DESC, word LIMIT 10000"
 IDS = (words_of("light_documents", "light_words"), """
 ids AS (
@@ -474,6 +497,22 @@ SELECT doc_id, CAST(index + (SELECT count(*) FROM vocab) AS INTEGER), round(tf *
 FROM terms WHERE idf <> 0""",
         *REVIEW_FEATURES,
     ),
+    "ngram_vocabulary": query(
+        """SELECT index, word, m AS n, CAST(doc_freq AS BIGINT) AS doc_freq, round(idf, 6) AS idf
+FROM gram_vocab JOIN (SELECT word, m FROM gram_bounds) USING (word)""",
+        *grams_of("clean_documents", "doc_words"),
+    ),
+    "ngram_tfidf": query(
+        """SELECT doc_id, word, tf, round(idf, 6) AS idf, round(tf * idf, 6) AS tfidf FROM gram_terms""",
+        *grams_of("clean_reviews", "words"),
+    ),
+    "ngram_features": query(
+        """SELECT doc_id, index, CAST(tf AS DOUBLE) AS value FROM gram_terms
+UNION ALL
+SELECT doc_id, CAST(index + (SELECT count(*) FROM gram_vocab) AS INTEGER), round(tf * idf, 6)
+FROM gram_terms WHERE idf <> 0""",
+        *grams_of("clean_reviews", "words"),
+    ),
     "hash_split": query(
         f"""SELECT doc_id, {bucket(42, 100)} < 20 AS validation,
   CAST({bucket(42, 5)} AS INTEGER) AS fold FROM clean_reviews"""

@@ -113,7 +113,7 @@ def test_files_without_line_breaks_in_fields_can_split(spark, tmp_path):
     path = write(tmp_path, "big.csv", "text,label\n" + "some words of a text,1\n" * 20_000)
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
     try:
-        assert R.read_csv(spark, path).rdd.getNumPartitions() == 1
+        assert R.read_csv(spark, path, split=False).rdd.getNumPartitions() == 1
         split = R.read_csv(spark, path, multi_line=False)
         assert split.rdd.getNumPartitions() > 1 and split.count() == 20_000
     finally:

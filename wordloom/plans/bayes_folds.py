@@ -18,9 +18,11 @@ from wordloom.operators.bayes import label_classes
 from wordloom.operators.pairs import WHOLE_TEXT
 from wordloom.operators.wordstats import top_words, with_count_bounds
 from wordloom.options import Options
+from wordloom.plans.pipeline import Vocabulary
 from wordloom.session import cut
 
-#: The fold of texts that take part in every vocabulary and are never held out.
+#: The fold of texts that take part in every vocabulary and are never held out, and the model of
+#: the vocabulary that leaves out no fold.
 NO_FOLD = -1
 
 
@@ -33,7 +35,7 @@ class FoldCounts:
     #: Texts by fold and label.
     texts: dict[tuple[int, int | None], int]
 
-    def texts_outside(self, fold: int | None) -> int:
+    def texts_outside(self, fold: int) -> int:
         return sum(n for (f, _), n in self.texts.items() if f != fold)
 
     def of_class_outside(self, fold: int, label: int) -> int:
@@ -64,7 +66,8 @@ def fold_counts(rows: DataFrame, options: Options) -> FoldCounts:
 
 
 def fold_vocabularies(counts: FoldCounts, options: Options, leaky: bool = False) -> DataFrame:
-    """(model, word, idf): the feature words of each fold's training part, by subtraction."""
+    """(model, word, idf, total_count): the feature words of each fold's training part, by
+    subtraction, and of all texts."""
     folds = range(options.cv_folds)
     of_fold = [
         F.sum(F.when(F.col("fold") == k, F.col(c)).otherwise(0)).alias(f"{c}_{k}")
@@ -77,9 +80,10 @@ def fold_vocabularies(counts: FoldCounts, options: Options, leaky: bool = False)
         )
     )
     parts = None
-    for k in folds:
-        own = (lambda c: F.lit(0)) if leaky else (lambda c, k=k: F.col(f"{c}_{k}"))
-        total = counts.texts_outside(None if leaky else k)
+    for k in (NO_FOLD, *folds):
+        every = leaky or k == NO_FOLD
+        own = (lambda c: F.lit(0)) if every else (lambda c, k=k: F.col(f"{c}_{k}"))
+        total = sum(counts.texts.values()) if every else counts.texts_outside(k)
         outside = words.select(
             "word",
             (F.col("uses") - own("uses")).alias("total_count"),
@@ -88,7 +92,9 @@ def fold_vocabularies(counts: FoldCounts, options: Options, leaky: bool = False)
         bounded = with_count_bounds(outside, F.lit(total), options)
         top = top_words(bounded, options).orderBy(F.desc("total_count"), "word")
         idf = F.log((F.lit(float(total)) + 1) / (F.col("doc_freq") + 1))
-        part = top.limit(options.max_features).select(F.lit(k).alias("model"), "word", idf.alias("idf"))
+        part = top.limit(options.max_features).select(
+            F.lit(k).alias("model"), "word", idf.alias("idf"), "total_count"
+        )
         parts = part if parts is None else parts.union(part)
     return parts
 
@@ -108,6 +114,7 @@ def fold_weights(
         for c, label in enumerate(counts.classes)
     ]
     # The vocabularies have at most max_features words of bounded length for each fold.
+    vocabularies = vocabularies.filter(F.col("model") != NO_FOLD)
     seen = counts.table.filter(F.col("label").isNotNull()).join(F.broadcast(vocabularies), "word")
     found = seen.groupBy("model", "word").agg(*n)
     each = vocabularies.join(found, ["model", "word"], "left").select(
@@ -175,8 +182,9 @@ def cross_validated_bayes(
     options: Options = Options(),
     leaky: bool = False,
     unsupervised: DataFrame | None = None,
-) -> list[float]:
-    """The mean accuracy of each smoothing over the folds, in their order.
+) -> tuple[list[float], Vocabulary]:
+    """The mean accuracy of each smoothing over the folds, in their order, and the feature words
+    of all texts.
 
     `train` holds stored, cleaned (text, label, fold) rows, `unsupervised` further texts for the
     words and weights. Labels are any integers. A fold without labelled texts has no accuracy and
@@ -188,10 +196,13 @@ def cross_validated_bayes(
         rows = rows.unionByName(more)
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     counts = fold_counts(rows, options)
-    if not counts.classes:
-        return [0.0] * len(smoothings)
     vocabularies = cut(fold_vocabularies(counts, options, leaky))
+    order = [F.desc("total_count"), F.asc("word")]
+    top = vocabularies.filter(F.col("model") == NO_FOLD).orderBy(*order).collect()
+    vocabulary = Vocabulary(tuple(r.word for r in top), tuple(r.idf for r in top))
+    if not counts.classes:
+        return [0.0] * len(smoothings), vocabulary
     weights = fold_weights(counts, vocabularies, options, smoothings)
     means = fold_accuracies(rows, counts, weights, smoothings).groupBy("point").agg(F.avg("accuracy").alias("mean"))
     found = {r.point: r["mean"] for r in means.collect()}
-    return [found.get(p, 0.0) for p in range(len(smoothings))]
+    return [found.get(p, 0.0) for p in range(len(smoothings))], vocabulary

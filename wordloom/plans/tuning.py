@@ -128,11 +128,8 @@ def _validated_bayes(train, options, leaky, unsupervised) -> Tuned:
     # Read once from the source: the counts, the scores and the last fit go over this copy.
     rows = cut(with_fold(labelled(train), options).select("doc_id", "text", "label", "fold"))
     smoothings = [point[estimator.smoothing] for point in grid]
-    averages = cross_validated_bayes(rows, smoothings, options, leaky, unsupervised)
-    texts = rows.select("doc_id", "text")
-    if unsupervised is not None:
-        texts = texts.unionByName(unsupervised.select("doc_id", "text"))
-    features = fit_features(rows, options, fit_vocabulary(texts, options), cleaned=True)
+    averages, vocabulary = cross_validated_bayes(rows, smoothings, options, leaky, unsupervised)
+    features = fit_features(rows, options, vocabulary, cleaned=True)
     return _refitted(estimator, grid, averages, features, prepare(features, rows), options)
 
 
