@@ -1,8 +1,8 @@
 """Exact duplicates by a content sort.
 
-A bounded sample of keys gives splitters, which cut the key range into chunks of about equal row
-counts; within a chunk an external sort puts equal texts next to each other, and each row is
-compared in full with the row before it. The key is the first characters of the text, its digest
+A bounded sample of keys gives splitters, which cut the key range into chunks of about equal
+bytes; within a chunk an external sort puts equal texts next to each other, and each row is
+compared in full with the row before it where head and digest agree. The key is the first characters of the text, its digest
 and the id, so it is short whatever the text is, and copies of one text spread over as many
 chunks as they fill. Runs that touch a chunk's edge are joined by a full comparison at the end.
 The text itself is shuffled once.
@@ -19,24 +19,28 @@ from wordloom.session import cut
 
 HEAD = 32
 OVERSAMPLING = 8
+#: What a row weighs beside its text.
+ROW_BYTES = 128
 #: Bounds what every task gets: so many splitters of at most HEAD characters, digest and id.
 MOST_CHUNKS = 4096
 
 
 def splitters(rows: DataFrame, chunks: int) -> DataFrame:
-    """One row with the sorted array of at most chunks - 1 keys that part rows evenly.
+    """One row with the sorted array of at most chunks - 1 keys that part rows into equal bytes.
 
-    The sample is drawn by a hash of the row, so that a second run draws the same.
+    The sample is drawn by a hash of the row, so that a second run draws the same. It has a few
+    keys a chunk, each weighing what its row has to carry.
     """
     wanted = chunks * OVERSAMPLING / max(1, rows.count())
     drawn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 24)) < F.lit(int(wanted * (1 << 24)))
-    keys = rows.filter(drawn).select("key").agg(F.array_sort(F.collect_list("key")).alias("keys"))
-    n = F.size("keys")
-    picks = F.transform(
-        F.sequence(F.lit(1), F.lit(max(1, chunks - 1))),
-        lambda i: F.get("keys", F.floor(i * n / F.lit(chunks)).cast("int")),
-    )
-    return keys.select(F.array_compact(F.array_distinct(picks)).alias("splitters"))
+    weight = (F.octet_length("text") + F.lit(ROW_BYTES)).cast("long").alias("weight")
+    sample = rows.filter(drawn).select("key", weight)
+    order = Window.orderBy("key")
+    upto = F.sum("weight").over(order.rowsBetween(Window.unboundedPreceding, 0))
+    whole = F.sum("weight").over(Window.partitionBy())
+    placed = sample.select("key", F.floor(upto * F.lit(chunks) / (whole + 1)).alias("part"))
+    first = placed.groupBy("part").agg(F.min("key").alias("key")).filter("part > 0")
+    return first.agg(F.array_sort(F.collect_list("key")).alias("splitters"))
 
 
 def exact_duplicates(
@@ -68,37 +72,36 @@ def exact_duplicates(
     digest = F.col("text_sha256")
     beside = [F.get("limits", F.col("chunk") + k)["text_sha256"] == digest for k in (-1, 0)]
     at_edge = F.coalesce(beside[0], F.lit(False)) | F.coalesce(beside[1], F.lit(False))
-    rows = rows.select("doc_id", "text", "text_sha256", "key", "chunk", at_edge.alias("at_edge"))
-
-    order = Window.partitionBy("chunk").orderBy("key.head", "text_sha256", "text", "doc_id")
-    before = F.lag("text").over(order)
-    same = F.coalesce(before == F.col("text"), F.lit(False))
+    head = F.col("key")["head"].alias("head")
+    rows = rows.select("doc_id", "text", "text_sha256", head, "chunk", at_edge.alias("at_edge"))
+    # Chunks stay whole; what is compared are rows of one head and digest. So no more than those
+    # are held at a time, and the text ends here.
+    rows = rows.repartition("chunk")
+    alike = ("chunk", "head", "text_sha256")
+    order = Window.partitionBy(*alike).orderBy("text", "doc_id")
+    same = F.coalesce(F.lag("text").over(order) == F.col("text"), F.lit(False))
     compared = rows.select(
+        *alike,
         "doc_id",
         "text",
-        "text_sha256",
-        "chunk",
         "at_edge",
         F.row_number().over(order).alias("pos"),
         same.alias("same"),
         F.lag("doc_id").over(order).eqNullSafe(F.col("doc_id")).alias("same_id"),
     ).select(
+        *alike,
         "doc_id",
-        "text_sha256",
-        "chunk",
         "pos",
         (~F.col("same")).cast("long").alias("new"),
         (F.col("same") & F.col("same_id")).alias("again"),
         F.when(F.col("at_edge") & ~F.col("same"), F.col("text")).alias("edge_text"),
     )
-    in_order = Window.partitionBy("chunk").orderBy("pos")
-    numbered = compared.withColumn("run", F.sum("new").over(in_order))
-    run = Window.partitionBy("chunk", "run")
+    numbered = compared.withColumn("run", F.sum("new").over(Window.partitionBy(*alike).orderBy("pos")))
+    run = Window.partitionBy(*alike, "run")
     found = cut(
         numbered.select(
+            *alike,
             "doc_id",
-            "text_sha256",
-            "chunk",
             "run",
             "again",
             "edge_text",
@@ -107,14 +110,14 @@ def exact_duplicates(
         )
     )
     # At most two runs of a chunk touch its edges.
-    alike = Window.partitionBy("edge_text")
+    whole = Window.partitionBy("edge_text")
     edges = found.filter("edge_text IS NOT NULL").select(
-        "chunk",
+        *alike,
         "run",
-        best("best").over(alike).alias("whole_best"),
-        F.sum("size").over(alike).alias("whole_size"),
+        best("best").over(whole).alias("whole_best"),
+        F.sum("size").over(whole).alias("whole_size"),
     )
-    both = found.join(F.broadcast(edges), ["chunk", "run"], "left")
+    both = found.join(F.broadcast(edges), [*alike, "run"], "left")
     touched = F.col("whole_size").isNotNull()
     both = both.select(
         "doc_id",
