@@ -135,8 +135,8 @@ def block_best(lists: Lists, ids: np.ndarray, vectors: np.ndarray, floor: np.nda
         part = q[open_]
         score = part @ lists.read
         if lists.all_read():
-            candidates = (score >= np.maximum(floor[open_], _kth(np.where(own[open_], -np.inf, score), k))[:, None]) & ~own[open_]
-            at, row = np.nonzero(candidates)
+            limit = np.maximum(floor[open_], _kth(np.where(own[open_], -np.inf, score), k))
+            at, row = np.nonzero((score >= limit[:, None]) & ~own[open_])
             found.append((open_[at], row, score[at, row]))
             break
         low, high = lists.ends()
@@ -148,7 +148,8 @@ def block_best(lists: Lists, ids: np.ndarray, vectors: np.ndarray, floor: np.nda
         candidates = (upper >= limit[:, None]) & ~own[open_]
         few = candidates.sum(1) <= FEW * k
         at, row = np.nonzero(candidates & few[:, None])
-        found.append((open_[at], row, None))
+        if len(at):
+            found.append((open_[at], row, None))
         open_ = open_[~few]
         if not len(open_):
             break
