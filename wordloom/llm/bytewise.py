@@ -8,6 +8,8 @@ words share one with odds of about 1 in 2^60.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -146,3 +148,23 @@ def lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     offsets = np.zeros(len(sizes) + 1, np.int32)
     np.cumsum(sizes, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+
+def lean(run):
+    """`run` over Arrow batches, giving memory back to the system when a partition ends.
+
+    Workers live on from stage to stage. What their allocators keep for a next batch would count
+    against the executor all along.
+    """
+
+    def tidy(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):
+                pass  # Only the GNU library has it.
+
+    return tidy

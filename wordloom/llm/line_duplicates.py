@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordloom.llm.bytewise import (
+    lean,
     U64,
     WordHasher,
     byte_view,
@@ -82,7 +83,7 @@ def _counted(batches):
 
 def frequent_words(texts: DataFrame, head_words: int = HEAD_WORDS) -> np.ndarray:
     """Hashes of the most frequent words, frequent ones last. All other words count as rarer."""
-    counts = texts.select("text").mapInArrow(_counted, "word long, uses long")
+    counts = texts.select("text").mapInArrow(lean(_counted), "word long, uses long")
     counts = counts.groupBy("word").agg(F.sum("uses").alias("uses"))
     top = counts.orderBy(F.desc("uses"), "word").limit(head_words).toArrow()
     order = np.lexsort((top["word"].to_numpy(), top["uses"].to_numpy()))
@@ -304,7 +305,7 @@ def _matches(pairs: DataFrame, texts: DataFrame, words_of, percent: int) -> Data
     asked = broadcast_if_small(asked, F.size("lines") * 4 + 64)
     asked_for = texts.withColumn("doc", F.coalesce("doc_id", F.lit(NO_ID))).join(asked, "doc")
     found = stored(
-        asked_for.select("text", "lines").mapInArrow(words_of, "sid long, words array<long>"), "words"
+        asked_for.select("text", "lines").mapInArrow(lean(words_of), "sid long, words array<long>"), "words"
     )
     other = found.withColumnsRenamed({"sid": "o_sid", "words": "o_words"})
     both = pairs.select("sid", "o_sid").distinct().join(found, "sid").join(other, "o_sid")
@@ -328,7 +329,7 @@ def removed_lines(
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_key", F.xxhash64("text"))
     head = frequent_words(texts, head_words)
-    lines = stored(texts.mapInArrow(_lines(head, percent, least_words), LINES), "lines")
+    lines = stored(texts.mapInArrow(lean(_lines(head, percent, least_words)), LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "text_key")
     sets = stored(
         lines.groupBy("sid", "n")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wordloom.llm.bytewise import U64, lists, mix, seeded, sums_by
+from wordloom.llm.bytewise import U64, lean, lists, mix, seeded, sums_by
 from wordloom.llm.components import components
 from wordloom.llm.names import unused
 from wordloom.llm.shingles import shingle_sets
@@ -165,7 +165,7 @@ def near_duplicates(
     )
     rows = rows_for(percent, bands) if rows is None else rows
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
-    signed = cut(keyed.mapInArrow(_signatures(width, bands, rows), SIGNED))
+    signed = cut(keyed.mapInArrow(lean(_signatures(width, bands, rows)), SIGNED))
     key = ["n", "d1", "d2"]
     classes = cut(
         signed.filter("n > 0")

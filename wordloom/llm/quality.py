@@ -10,6 +10,7 @@ log-densities, with distances from Cholesky factors that are computed once.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from hashlib import sha256
 
 import numpy as np
 import pandas as pd
@@ -17,8 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.bytewise import WordHasher, byte_view, lists, lowered, runs, word_limits
+from wordloom.llm.bytewise import WordHasher, byte_view, lean, lists, lowered, runs, word_limits
 from wordloom.llm.names import unused
+from wordloom.llm.tables import broadcast_if_small, stored
 from wordloom.session import cut
 
 FEATURES = (
@@ -115,7 +117,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """(doc_id, features) for rows (doc_id, text); a null text counts as empty."""
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(_features, f"doc_id {kind}, features array<double>")
+    return rows.mapInArrow(lean(_features), f"doc_id {kind}, features array<double>")
 
 
 @dataclass(frozen=True)
@@ -189,22 +191,29 @@ def with_scores(rows: DataFrame, model: QualityModel, name: str = "score") -> Da
 
 
 def good_texts(docs: DataFrame, labels: DataFrame, shrinkage: float = SHRINKAGE) -> DataFrame:
-    """The rows of docs that the classifier, fitted as in `quality_scores`, takes for good."""
+    """The rows of docs that the classifier, fitted as in `quality_scores`, takes for good.
+
+    Texts go through Python alone, without the other columns; what comes back are the digests of
+    those that are rejected, which docs are held against.
+    """
     model = fit_quality(labelled_statistics(docs, labels), shrinkage)
 
-    @F.arrow_udf("double")
-    def score(texts: pa.Array) -> pa.Array:
+    def rejected(batches):
         hasher = WordHasher()
-        data, offsets = byte_view(texts)
-        parts = [
-            model.scores(statistics(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], hasher))
-            for i, j in runs(offsets)
-        ]
-        return pa.array(np.concatenate(parts) if parts else np.zeros(0))
+        for batch in batches:
+            data, offsets = byte_view(batch.column("text"))
+            for i, j in runs(offsets):
+                part, limits = data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                low = np.flatnonzero(model.scores(statistics(part, limits, hasher)) < THRESHOLD)
+                digests = [sha256(part[limits[k] : limits[k + 1]]).digest() for k in low]
+                yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary())], ["digest"])
 
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    (name,) = unused(docs, "score")
-    return docs.withColumn(name, score(text)).filter(F.col(name) >= THRESHOLD).drop(name)
+    (name,) = unused(docs, "digest")
+    found = docs.select(text.alias("text")).mapInArrow(lean(rejected), "digest binary").distinct()
+    bad = broadcast_if_small(stored(found, "rejected"), F.lit(64)).withColumnRenamed("digest", name)
+    own = docs.withColumn(name, F.unhex(F.sha2(text, 256)))
+    return own.join(bad, name, "left_anti").drop(name)
 
 
 def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:

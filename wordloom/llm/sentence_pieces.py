@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm.bytewise import U64, byte_view, mix, runs
+from wordloom.llm.bytewise import U64, byte_view, lean, mix, runs
 
 SPACE = 0x2581
 NEVER = np.int32(2**31 - 1)
@@ -371,7 +371,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 )
 
     rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return rows.mapInArrow(lean(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -394,7 +394,7 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
 
     rows = rows.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, ids array<int>, text string")
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
