@@ -126,20 +126,7 @@ def line_texts(seed=6):
 @pytest.mark.parametrize("percent", [80, 60])
 def test_lines_that_match_an_earlier_line_go(spark, percent):
     rows = line_texts()
-    seen, want = [], {}
-    for i, text in sorted(rows):
-        rest = []
-        for line in text.split("\n"):
-            words = words_of(line)
-            own = set(words)
-            like = len(words) >= 5 and any(
-                100 * len(own & s) >= percent * len(own | s) for s in seen
-            )
-            if len(words) >= 5:
-                seen.append(own)
-            if not like:
-                rest.append(line)
-        want[i] = "\n".join(rest)
+    want = without_like_lines(rows, percent)
     got = deduplicated(frame(spark, rows).repartition(6), percent).collect()
     assert {r["doc_id"]: r["text"] for r in got} == want
     assert all(
@@ -176,12 +163,12 @@ def short_line_texts(seed=9):
     return rows
 
 
-def without_like_lines(rows, percent):
+def without_like_lines(rows, percent, least_words=1):
     seen, want = [], {}
     for i, text in sorted(rows):
         rest = []
         for line in text.split("\n"):
-            own = set(words_of(line))
+            own = set(words_of(line)) if len(words_of(line)) >= least_words else set()
             like = own and any(100 * len(own & s) >= percent * len(own | s) for s in seen)
             if own:
                 seen.append(own)
@@ -192,12 +179,18 @@ def without_like_lines(rows, percent):
 
 
 @pytest.mark.parametrize("percent", [100, 80, 60])
-def test_short_lines_take_part_where_asked_for(spark, percent):
+def test_short_lines_take_part(spark, percent):
     rows = short_line_texts()
-    got = deduplicated(frame(spark, rows).repartition(4), percent, least_words=1).collect()
+    got = deduplicated(frame(spark, rows).repartition(4), percent).collect()
     assert {r["doc_id"]: r["text"] for r in got} == without_like_lines(rows, percent)
 
 
+def test_short_lines_stay_where_asked_for(spark):
+    rows = short_line_texts()
+    got = deduplicated(frame(spark, rows).repartition(4), 80, least_words=4).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == without_like_lines(rows, 80, 4)
+
+
 def test_the_line_stage_takes_out_short_repeats(spark, folder):
     rows = short_line_texts()
     got = corpus_pipeline.lines(spark, frame(spark, rows).repartition(4), folder).collect()

@@ -33,7 +33,7 @@ from wordloom.llm.names import unused
 from wordloom.llm.tables import broadcast_if_small, stored
 
 HEAD_WORDS = 1 << 16
-LEAST_WORDS = 5
+LEAST_WORDS = 1
 COUNT_RUN_BYTES = 4 << 20
 MOST_COUNTS = 1_500_000
 HUBS = (1, 2, 4, 8)
@@ -321,8 +321,8 @@ def removed_lines(
 
     Lines stand in the order of doc_id (null last), then number. Two match if their sets of
     distinct words have a Jaccard similarity of `percent` or more; a line with fewer than
-    `least_words` words takes no part (1: every line that has a word does). text_key is xxhash64 of the text; rows equal in doc_id and
-    text are one text. Texts without such lines have no row. Null texts have no lines.
+    `least_words` words takes no part (1: every line that has a word does). text_key is xxhash64
+    of the text; rows equal in doc_id and text are one text. A text or a line may have any length. Texts without such lines have no row. Null texts have no lines.
     """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

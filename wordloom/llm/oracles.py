@@ -79,7 +79,7 @@ split AS (
   FROM lines),
 sets AS (
   SELECT doc_id, number, list_distinct(words) AS words, len(list_distinct(words)) AS n
-  FROM split WHERE len(words) >= 5),
+  FROM split WHERE len(words) >= 1),
 used AS (SELECT word, count(*) AS uses FROM (SELECT unnest(words) AS word FROM sets) GROUP BY word),
 -- Two sets of that likeness share one of their rarest words, n - ceil(0.8 n) + 1 of each.
 ranked AS (
