@@ -6,6 +6,8 @@ share such a word are compared, and only where lengths, the place of the word an
 the overlap allow a match. Equal sets, told by a 64-bit hash and their size, go on as one. A set that
 matches one of the first holders of a word is settled by that; only the others are compared with
 all earlier holders, so a cluster of like lines costs about as many comparisons as it has lines.
+A word that the corpus uses once leads to no other set, so no set is sought by it: a bit map of
+bounded size tells such words, and one that it cannot tell only costs time.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from wordloom.llm.bytewise import (
     sums_by,
     word_limits,
 )
+from wordloom.llm.collocations import _has as in_bit_map
+from wordloom.llm.collocations import bit_map
 from wordloom.llm.names import unused
 from wordloom.llm.tables import broadcast_if_small, stored
 
@@ -81,10 +85,15 @@ def _counted(batches):
         yield rows(*merged())
 
 
-def frequent_words(texts: DataFrame, head_words: int = HEAD_WORDS) -> np.ndarray:
-    """Hashes of the most frequent words, frequent ones last. All other words count as rarer."""
+def repeated_words(texts: DataFrame) -> DataFrame:
+    """(word, uses) of the hashes of all words used more than once, stored."""
     counts = texts.select("text").mapInArrow(lean(_counted), "word long, uses long")
     counts = counts.groupBy("word").agg(F.sum("uses").alias("uses"))
+    return stored(counts.filter("uses > 1"), "uses")
+
+
+def frequent_words(counts: DataFrame, head_words: int = HEAD_WORDS) -> np.ndarray:
+    """Hashes of the most frequent words, frequent ones last. All other words count as rarer."""
     top = counts.orderBy(F.desc("uses"), "word").limit(head_words).toArrow()
     order = np.lexsort((top["word"].to_numpy(), top["uses"].to_numpy()))
     return top["word"].to_numpy()[order].view(U64)
@@ -136,7 +145,10 @@ def _set_ids(values, owner, sizes) -> np.ndarray:
         return mix(sums_by(owner, mix(values + U64(0x51ED27)), sizes) + sizes.astype(U64)).view(np.int64)
 
 
-def _lines(head: np.ndarray, percent: int, least_words: int):
+def _lines(head: np.ndarray, repeated: np.ndarray, percent: int, least_words: int):
+    """Lines with their sets' ids, bitmaps and prefixes. In a prefix, 0 stands for a word used once:
+    the others keep their places."""
+
     def run(batches):
         hasher, ranks = WordHasher(), _Ranks(head)
         for batch in batches:
@@ -157,7 +169,9 @@ def _lines(head: np.ndarray, percent: int, least_words: int):
                     ]
                 few = _prefix_sizes(sizes, percent)
                 among = np.arange(len(values)) - first[owner] < few[owner]
-                short = (mixed[among] >> U64(32)).astype(np.uint32).view(np.int32)
+                short = np.maximum(mixed[among] >> U64(32), U64(1)).astype(np.uint32).view(np.int32)
+                rare = values[among] < U64(1 << 63)
+                short[rare & ~in_bit_map(repeated, values[among] << U64(1))] = 0
                 yield pa.RecordBatch.from_arrays(
                     [
                         *[batch.column(c).slice(i, j - i).take(pa.array(text)) for c in ("doc_id", "text_key")],
@@ -207,12 +221,13 @@ PLACE = ("doc", "line", "sid")
 
 
 def _spots(sets: DataFrame) -> DataFrame:
-    """(word, spot): each set at each word of its prefix; `doc` orders null ids last.
+    """(word, spot): each set at each repeated word of its prefix; `doc` orders null ids last.
 
     No column can be null, so joins add no filters below the shuffle, and all readers share it.
     """
     doc = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc")
     each = sets.select(F.posexplode("prefix").alias("pos", "word"), doc, "line", "sid", "n", "bits", "bits2")
+    each = each.filter("word <> 0")
     filled = [F.coalesce(c, F.lit(0)).alias(c) for c in ("word", "line", "sid", "n", "bits", "bits2")]
     return each.select("doc", "pos", *filled)
 
@@ -328,8 +343,10 @@ def removed_lines(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_key", F.xxhash64("text"))
-    head = frequent_words(texts, head_words)
-    lines = stored(texts.mapInArrow(lean(_lines(head, percent, least_words)), LINES), "lines")
+    counts = repeated_words(texts)
+    head = frequent_words(counts, head_words)
+    repeated = bit_map(counts.select(F.col("word").alias("pair")))
+    lines = stored(texts.mapInArrow(lean(_lines(head, repeated, percent, least_words)), LINES), "lines")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "line", "text_key")
     sets = stored(
         lines.groupBy("sid", "n")
