@@ -7,6 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from wordloom import Options
+from wordloom.functions.cleaning import with_clean_text
 from wordloom.operators import sequences, splits
 from wordloom.plans import evaluation, pipeline, scoring, training, tuning
 from wordloom.plans.runlog import RunLog
@@ -71,6 +72,16 @@ def test_null_and_empty_texts(spark, nb_model):
     assert [r.doc_id for r in scoring.usable(docs).collect()] == [3]
 
 
+def test_texts_that_cleaning_empties_are_not_scored(spark, train):
+    texts = ["...", "<br />", "<br/>!", "\u00a0", "\u0434\u0430", "1", "<b>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in scoring.usable(docs).orderBy("doc_id").collect()] == [5, 6]
+    kept = [r.doc_id for r in with_clean_text(docs).orderBy("doc_id").collect()]
+    assert kept == [5, 6]
+    wide = pipeline.fit_classifier(train, "naive_bayes", Options(unicode=True, max_features=200))
+    assert sorted(r.doc_id for r in scored_stream(wide, docs, "doc_id").collect()) == [4, 5, 6]
+
+
 def test_file_to_file(spark, nb_model, tmp_path):
     source = tmp_path / "in.csv"
     source.write_text('text\n"good ""film"", yes"\n" "\nbad\n', encoding="utf-8")

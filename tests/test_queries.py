@@ -23,6 +23,33 @@ def test_query_matches_its_sql(spark, folder, db, name):
     assert got.num_rows > 0
 
 
+@pytest.fixture(scope="module")
+def odd(spark, folder, tmp_path_factory):
+    """The tables with texts that cleaning empties, and an unlabelled word, and their SQL views."""
+    path = tmp_path_factory.mktemp("odd")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    texts = ["... !!!", "<br />", "\u2014 \u00a0", "\u0434\u0430", "", " ", "film"]
+    more = spark.createDataFrame([(10**6 + i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    docs.unionByName(more, allowMissingColumns=True).write.parquet(f"{path}/documents.parquet")
+    spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{path}/labels.parquet")
+    connection = duckdb.connect()
+    for table in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}/{table}.parquet/*.parquet'")
+    return str(path), connection
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["batch_udf_scores", "nb_pipeline_scores", "nb_tfidf_scores", "predictions_csv",
+     "saved_model_scores", "stream_scores"],
+)
+def test_scores_match_their_sql_on_texts_without_words(spark, odd, name):
+    path, connection = odd
+    got = registry.queries()[name](spark, path).toArrow()
+    verdict = compare(got, connection, registry.oracle_sql()[name])
+    assert verdict.startswith("ok"), verdict
+
+
 def test_every_sql_has_a_query():
     assert set(registry.oracle_sql()) <= set(registry.queries())
 

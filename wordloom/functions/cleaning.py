@@ -76,6 +76,12 @@ def input_status(text: Column) -> Column:
     return F.when(text.rlike(r"(?U)[^\s\x1C-\x1F]"), "ok").otherwise("empty")
 
 
+def leaves_words(text: Column, unicode: bool = False) -> Column:
+    """True where the classic clean leaves something: it keeps word characters outside of break
+    tags, so the first of them settles it."""
+    return breaks_to_spaces(text).rlike(_flag(unicode) + r"\w")
+
+
 def _where_tagged(text: Column, change) -> Column:
     """Most texts hold no tag at all; a byte search spares those the regex."""
     return F.when(F.contains(text, F.lit("<")), change(text)).otherwise(text)

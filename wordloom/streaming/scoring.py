@@ -6,6 +6,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from wordloom.plans.pipeline import cleans_unicode
 from wordloom.plans.scoring import presented, score_table, usable
 
 
@@ -17,9 +18,10 @@ def arriving_texts(
 
 
 def scored_stream(model: PipelineModel, texts: DataFrame, *keep: str) -> DataFrame:
-    """Stateless: rows without text are left out, the others get the presented prediction."""
+    """Stateless: rows without a word are left out, the others get the presented prediction."""
     columns = ("prediction", "probability_negative", "probability_positive")
-    return presented(score_table(model, usable(texts), *keep), *keep, *columns)
+    texts = usable(texts, cleans_unicode(model))
+    return presented(score_table(model, texts, *keep), *keep, *columns)
 
 
 def start_scoring(
