@@ -6,7 +6,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from wordloom.functions.words import STOPWORDS
-from wordloom.operators import bayes, metrics
+from wordloom.operators import batch_grams, bayes, metrics, ngrams, pairs
 from wordloom.operators.ngrams import ngram_tfidf, ngram_vocabulary
 from wordloom.operators.splits import with_fold
 from wordloom.options import Options
@@ -148,3 +148,44 @@ def test_too_many_classes_are_refused_when_scoring(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a word")], "doc_id long, text string")
     with pytest.raises(ValueError, match="classes"):
         bayes.score_classes(docs, priors, weights)
+
+
+# --- n-grams by batch ---------------------------------------------------------------------
+
+
+def test_ngrams_of_slices_and_of_large_part_tables_are_the_same(spark, train, monkeypatch):
+    options = Options(feature_ngrams=3, max_features=400)
+    whole = ngram_vocabulary(train, options).collect()
+    weights = {tuple(r) for r in ngram_tfidf(train, cut(ngram_vocabulary(train, options)), options).collect()}
+    monkeypatch.setattr(ngrams, "is_small", lambda *_: False)
+    assert ngram_vocabulary(train, options).collect() == whole
+    monkeypatch.undo()
+    monkeypatch.setattr(batch_grams, "SLICE_BYTES", 2_000)
+    assert ngram_vocabulary(train, options).collect() == whole
+    vocab = cut(ngram_vocabulary(train, options))
+    assert {tuple(r) for r in ngram_tfidf(train, vocab, options).collect()} == weights
+
+
+@pytest.mark.parametrize("low, high", [(1, 1), (1, 2), (2, 2), (1, 3), (3, 3)])
+def test_ngram_counts_of_any_range(spark, low, high):
+    texts = ["", "of", "film", "Film film good film", "the one of film", None, "İ Été film", "x" * 51]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    want = Counter()
+    for text in filter(None, texts):
+        words = [w for w in text.lower().split(" ") if 2 <= len(w) <= 50 and w not in STOPWORDS]
+        for n in range(low, high + 1):
+            want.update((n, " ".join(words[i : i + n])) for i in range(len(words) - n + 1))
+    got = pairs.ngram_counts(docs, Options(ngram_range=(low, high))).collect()
+    assert {(r.n, r.gram): r.total_count for r in got} == want and len(got) == len(want)
+
+
+def test_ngrams_are_not_spelled_out_row_by_row(spark, train):
+    """The array functions that joined and sorted each occurrence made these jobs slow."""
+    options = Options(feature_ngrams=2)
+    parts = train.sparkSession.createDataFrame([("film",)], "word string")
+    for frame in (
+        ngrams.frequent_grams(train, 2, parts, F.lit(1), options),
+        ngram_tfidf(train, ngram_vocabulary(train, options), options),
+    ):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert not any(step in plan for step in ("array_join", "posexplode", "sort_array"))

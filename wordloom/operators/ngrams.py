@@ -8,11 +8,15 @@ but those of frequent ones. The upper limit on texts is no such bound; it is app
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wordloom.functions import words as W
+from wordloom.operators.batch_grams import Runs, kept_by, slices
 from wordloom.operators.wordstats import stored_counts, top_words, with_count_bounds
 from wordloom.options import Options
 from wordloom.session import cut
@@ -20,10 +24,9 @@ from wordloom.session import cut
 MOST_BROADCAST_BYTES = 32 << 20
 
 
-def small_or_shuffled(df: DataFrame, row_bytes: Column) -> DataFrame:
-    """A stored table marked for broadcasting if its rows are small together."""
-    size = df.agg(F.sum(row_bytes)).first()[0] or 0
-    return F.broadcast(df) if size <= MOST_BROADCAST_BYTES else df
+def is_small(df: DataFrame, row_bytes: Column) -> bool:
+    """Whether the rows of a stored table are small enough together to be sent to each worker."""
+    return (df.agg(F.sum(row_bytes)).first()[0] or 0) <= MOST_BROADCAST_BYTES
 
 
 def kept_grams(text: Column, low: int, high: int, options: Options) -> Column:
@@ -52,7 +55,19 @@ def frequent_grams(docs: DataFrame, n: int, shorter: DataFrame, least: Column, o
     """(word, total_count, doc_freq) of n-grams in at least `least` texts; `shorter` has those of
     n - 1 words."""
     parts = cut(shorter.select("word"))
-    known = small_or_shuffled(parts, F.octet_length("word") + 16)
+    if is_small(parts, F.octet_length("word") + 16):
+        marked = batch_counts(docs, n, [row.word for row in parts.collect()], options)
+    else:
+        marked = joined_grams(docs, n, parts, options)
+    counts = marked.groupBy("word").agg(
+        F.sum("total_count").alias("total_count"), F.sum("doc_freq").alias("doc_freq")
+    )
+    return counts.filter(F.col("doc_freq") >= least)
+
+
+def joined_grams(docs: DataFrame, n: int, parts: DataFrame, options: Options) -> DataFrame:
+    """(word, total_count, doc_freq) of every n-gram whose two parts are in a table of any size,
+    a row for each occurrence."""
     marked = marked_grams(docs, n, options).withColumns(
         {
             "_head": F.substring_index("gram", " ", n - 1),
@@ -60,11 +75,27 @@ def frequent_grams(docs: DataFrame, n: int, shorter: DataFrame, least: Column, o
         }
     )
     for part in ("_head", "_tail"):
-        marked = marked.join(known.withColumnRenamed("word", part), part, "left_semi")
-    counts = marked.groupBy(F.col("gram").alias("word")).agg(
-        F.count("*").alias("total_count"), F.sum("first").alias("doc_freq")
-    )
-    return counts.filter(F.col("doc_freq") >= least)
+        marked = marked.join(parts.withColumnRenamed("word", part), part, "left_semi")
+    once = F.lit(1).cast("bigint").alias("total_count")
+    return marked.select(F.col("gram").alias("word"), once, F.col("first").alias("doc_freq"))
+
+
+def batch_counts(docs: DataFrame, n: int, parts: list[str], options: Options) -> DataFrame:
+    """The same for a bounded list of parts, a row for each gram of a batch."""
+    sent = docs.sparkSession.sparkContext.broadcast(parts)
+    kept = kept_by(options)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(sent.value, pa.string())
+        for batch in batches:
+            for part in slices(batch):
+                grams, times, texts = Runs(part["text"], *kept).frequent(n, known)
+                yield pa.RecordBatch.from_arrays(
+                    [grams, pa.array(times), pa.array(texts)], ["word", "total_count", "doc_freq"]
+                )
+
+    words = docs.select(F.lower("text").alias("text"))
+    return words.mapInArrow(counted, "word string, total_count long, doc_freq long")
 
 
 def ngram_vocabulary(docs: DataFrame, options: Options = Options()) -> DataFrame:
@@ -92,26 +123,29 @@ def ngram_vocabulary(docs: DataFrame, options: Options = Options()) -> DataFrame
     return top.select(index, "word", "n", "doc_freq", idf.alias("idf"))
 
 
-def ngram_terms(docs: DataFrame, options: Options = Options(), *keys: str) -> DataFrame:
-    """(keys, word, tf) of the kept words and n-grams of each cleaned text, without a shuffle."""
-    keys = keys or ("doc_id",)
-    grams = kept_grams(F.col("text"), 1, options.feature_ngrams, options)
-    listed = docs.select(*keys, F.sort_array(grams).alias("_grams"))
-    starts = listed.select(
-        "*",
-        F.expr(
-            "filter(transform(_grams, (g, i) -> if(i = 0 OR g != _grams[i - 1], i, -1)), i -> i >= 0)"
-        ).alias("_starts"),
-    )
-    runs = F.expr(
-        "transform(_starts, (start, i) -> struct(_grams[start] AS word, "
-        "bigint(coalesce(get(_starts, i + 1), size(_grams)) - start) AS tf))"
-    )
-    return starts.select(*keys, F.inline_outer(runs)).filter(F.col("word").isNotNull())
-
-
 def ngram_tfidf(docs: DataFrame, vocab: DataFrame, options: Options = Options(), *keys: str) -> DataFrame:
-    """(keys, word, tf, idf, tfidf) for the vocabulary's words and n-grams: one scan, no shuffle."""
-    terms = ngram_terms(docs, options, *keys)
-    joined = terms.join(F.broadcast(vocab.select("word", "idf")), "word")
-    return joined.select(*terms.columns, "idf", (F.col("tf") * F.col("idf")).alias("tfidf"))
+    """(keys, word, tf, idf, tfidf) for the vocabulary's words and n-grams: one scan, no shuffle.
+
+    The vocabulary, bounded as `ngram_vocabulary` makes it, is sent to the workers.
+    """
+    keys = keys or ("doc_id",)
+    rows = vocab.select("word", "idf").collect()
+    entries = [row.word for row in rows], [row.idf for row in rows]
+    sent = docs.sparkSession.sparkContext.broadcast(entries)
+    kept, longest = kept_by(options), options.feature_ngrams
+
+    def weighted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, idf = pa.array(sent.value[0], pa.string()), pa.array(sent.value[1], pa.float64())
+        for batch in batches:
+            for part in slices(batch):
+                text, place, times = Runs(part["_text"], *kept).terms(longest, known)
+                columns = [part[key].take(pa.array(text)) for key in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, known.take(place), pa.array(times), idf.take(place)],
+                    [*keys, "word", "tf", "idf"],
+                )
+
+    lowered = docs.select(*keys, F.lower("text").alias("_text"))
+    schema = lowered.select(*keys).schema.add("word", "string").add("tf", "long").add("idf", "double")
+    terms = lowered.mapInArrow(weighted, schema)
+    return terms.select("*", (F.col("tf") * F.col("idf")).alias("tfidf"))
