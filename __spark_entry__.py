@@ -665,11 +665,7 @@ def sequence_udf_scores(spark, folder):
     weights = np.zeros((first + len(words), 2))
     weights[first:] = fitted.theta.toArray().T
     bias = fitted.pi.toArray()
-    vocab = spark.createDataFrame(
-        [(word, i + first, 0) for i, word in enumerate(words)],
-        "word string, word_id int, total_count bigint",
-    )
-    encoded = sequences.id_sequences(clean_documents(spark, folder), vocab, options)
+    encoded = sequences.bounded_id_sequences(clean_documents(spark, folder), words, options)
 
     def make_predict():
         def predict(ids, mask):

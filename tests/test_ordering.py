@@ -64,6 +64,18 @@ def test_the_size_of_the_head_does_not_change_the_ids(spark, folder, head_rows):
     )
 
 
+def test_sequences_of_a_bounded_vocabulary_need_no_shuffle(spark):
+    docs = docs_of(spark, "b a b", "A c é é d", "once", "", None, "a " * 9 + "b")
+    words = ["b", "é", "a"]
+    entries = [(word, i + len(sequences.RESERVED), 0) for i, word in enumerate(words)]
+    vocab = spark.createDataFrame(entries, "word string, word_id int, total_count long")
+    options = Options(sequence_length=4)
+    got = sequences.bounded_id_sequences(docs, words, options)
+    assert rows(got) == rows(sequences.id_sequences(docs, vocab, options))
+    assert got.dtypes == sequences.id_sequences(docs, vocab, options).dtypes
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_a_hot_unknown_word_is_settled_before_the_shuffle(spark):
     hot = F.when(F.col("id") % 3 == 0, F.lit("unknown")).otherwise(F.col("id").cast("string"))
     words = spark.range(9_000).select(hot.alias("word"))

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from wordloom.functions.words import split_clean_words
 from wordloom.operators.ordering import with_rank
@@ -74,6 +80,41 @@ def with_word_ids(words: DataFrame, vocab: DataFrame, head_rows: int = HEAD_ROWS
     )
 
 
+def bounded_id_sequences(docs: DataFrame, words: Sequence[str], options: Options = Options()) -> DataFrame:
+    """What `id_sequences` gives where the vocabulary is bounded and on the driver: `words` have
+    the ids after the reserved ones, in order. They are sent to the workers; nothing is shuffled,
+    and a document is a row as it came."""
+    length, first, unknown = options.sequence_length, len(RESERVED), RESERVED["<UNK>"]
+    padding = RESERVED["<PAD>"]
+    sent = docs.sparkSession.sparkContext.broadcast(list(words))
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(sent.value, pa.string())
+        for batch in batches:
+            listed = pc.split_pattern(batch["_text"], " ")
+            sizes = pc.list_value_length(listed).to_numpy(zero_copy_only=False)
+            place = pc.index_in(pc.list_flatten(listed), known)
+            ids = pc.fill_null(pc.add(place, first), unknown).to_numpy(zero_copy_only=False)
+            used = np.arange(length) < sizes[:, None]
+            table = np.full(used.shape, padding, np.int32)
+            table[used] = ids
+            offsets = pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * length)
+            columns = [
+                pa.ListArray.from_arrays(offsets, pa.array(cells.astype(np.int32).ravel()))
+                for cells in (table, used)
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], *columns], ["doc_id", "input_ids", "attention_mask"]
+            )
+
+    # Words past the end of a sequence are cut off before they travel.
+    fitting = F.substring_index(F.lower(F.coalesce("text", F.lit(""))), " ", length)
+    lowered = docs.select("doc_id", fitting.alias("_text"))
+    ids = ArrayType(IntegerType())
+    schema = lowered.select("doc_id").schema.add("input_ids", ids).add("attention_mask", ids)
+    return lowered.mapInArrow(encoded, schema)
+
+
 def id_sequences(
     docs: DataFrame,
     vocab: DataFrame,
