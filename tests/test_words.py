@@ -153,3 +153,10 @@ def test_term_counts_do_not_shuffle(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     plan = pairs.term_counts(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_rare_ngrams_are_not_gathered_before_the_shuffle(train):
+    """A table of all the grams of a task outgrew its memory on larger tables."""
+    plan = pairs.ngram_counts(train)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Exchange") :]
+    assert "Exchange" in plan and "HashAggregate" not in below and "posexplode" not in below

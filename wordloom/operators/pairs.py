@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.functions import words as W
+from wordloom.operators.batch_grams import Runs, kept_by, slices
 from wordloom.options import Options
 
 
@@ -108,8 +113,28 @@ def ngram_pairs(docs: DataFrame, options: Options = Options(), *keys: str) -> Da
 
 
 def ngram_counts(docs: DataFrame, options: Options = Options()) -> DataFrame:
-    grams = ngram_pairs(docs, options)
-    return grams.groupBy("n", "gram").agg(F.count("*").alias("total_count"))
+    """(n, gram, total_count) for each n of the configured range: counted by batch, then summed.
+
+    Most grams are rare, so the batches' counts go to the shuffle as they are: a table of all the
+    grams of a task would grow out of its memory and be sorted instead.
+    """
+    low, high = options.ngram_range
+    kept = kept_by(options)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                for n, grams, times in Runs(part["text"], *kept).counts(low, high):
+                    some = np.flatnonzero(times)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(some), n, np.int32)), grams.take(some), pa.array(times[some])],
+                        ["n", "gram", "total_count"],
+                    )
+
+    words = docs.select(F.lower("text").alias("text"))
+    counts = words.mapInArrow(counted, "n int not null, gram string, total_count long")
+    dealt = counts.repartition("n", "gram")
+    return dealt.groupBy("n", "gram").agg(F.sum("total_count").alias("total_count"))
 
 
 def _gram_from_here(n: int):
