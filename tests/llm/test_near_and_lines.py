@@ -5,9 +5,11 @@ import pytest
 from tests_llm_helpers import ODD, frame, odd_rows, words_of
 
 import corpus_pipeline
+import wordloom.llm.near_duplicates as near
 from wordloom.llm.components import components
 from wordloom.llm.line_duplicates import deduplicated
 from wordloom.llm.near_duplicates import near_duplicates, one_of_each
+from wordloom.llm.tables import BATCH_ROWS, BATCH_SETTING
 
 
 def least_labels(nodes, links):
@@ -196,3 +198,31 @@ def test_the_line_stage_takes_out_short_repeats(spark, folder):
     got = corpus_pipeline.lines(spark, frame(spark, rows).repartition(4), folder).collect()
     want = {i: t for i, t in without_like_lines(rows, 80).items() if words_of(t) or t == dict(rows)[i]}
     assert {r["doc_id"]: r["text"] for r in got} == want
+
+
+def test_near_duplicates_hand_texts_to_python_in_small_batches(spark, monkeypatch):
+    most = BATCH_ROWS
+
+    def checked(make):
+        def build(*args):
+            run = make(*args)
+
+            def seen(batches):
+                for batch in batches:
+                    if batch.num_rows > most:
+                        raise ValueError(f"{batch.num_rows} rows in a batch")
+                    yield batch
+
+            return lambda batches: run(seen(batches))
+
+        return build
+
+    for name in ("_signatures", "_sets"):
+        monkeypatch.setattr(near, name, checked(getattr(near, name)))
+    before = spark.conf.get(BATCH_SETTING)
+    # A text and a near copy of it, 1,500 times.
+    texts = [" ".join(f"w{k}x{i}" for i in range(40)) for k in range(1_500)]
+    rows = [(2 * k + e, text + " more" * e) for k, text in enumerate(texts) for e in (0, 1)]
+    got = near.near_duplicates(frame(spark, rows).coalesce(1), percent=80)
+    assert {r.doc_id: r.component_id for r in got.collect()} == {d: d - d % 2 for d, _ in rows}
+    assert spark.conf.get(BATCH_SETTING) == before

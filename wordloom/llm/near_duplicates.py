@@ -21,6 +21,7 @@ from wordloom.llm.bytewise import U64, lean, lists, mix, seeded, sums_by
 from wordloom.llm.components import components
 from wordloom.llm.names import unused
 from wordloom.llm.shingles import shingle_sets
+from wordloom.llm.tables import small_batches
 from wordloom.session import cut
 
 BANDS = 32
@@ -124,11 +125,9 @@ def _sets(width: int):
 def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets reach the similarity."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = cut(
-        texts.join(wanted, "doc_id", "left_semi").mapInArrow(
-            _sets(width), "doc_id long, shingles array<long>"
-        )
-    )
+    asked = texts.join(wanted, "doc_id", "left_semi")
+    with small_batches(texts.sparkSession):
+        sets = cut(asked.mapInArrow(lean(_sets(width)), "doc_id long, shingles array<long>"))
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
@@ -165,7 +164,8 @@ def near_duplicates(
     )
     rows = rows_for(percent, bands) if rows is None else rows
     keyed = texts.withColumn("text_key", F.xxhash64("text"))
-    signed = cut(keyed.mapInArrow(lean(_signatures(width, bands, rows)), SIGNED))
+    with small_batches(docs.sparkSession):
+        signed = cut(keyed.mapInArrow(lean(_signatures(width, bands, rows)), SIGNED))
     key = ["n", "d1", "d2"]
     classes = cut(
         signed.filter("n > 0")
