@@ -1,11 +1,14 @@
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from tests_llm_helpers import ODD, frame, odd_rows, words_of
 
 import corpus_pipeline
 import wordloom.llm.near_duplicates as near
+from wordloom.llm import line_duplicates
+from wordloom.llm.bytewise import U64, WordHasher
 from wordloom.llm.components import components
 from wordloom.llm.line_duplicates import deduplicated
 from wordloom.llm.near_duplicates import near_duplicates, one_of_each
@@ -226,3 +229,24 @@ def test_near_duplicates_hand_texts_to_python_in_small_batches(spark, monkeypatc
     got = near.near_duplicates(frame(spark, rows).coalesce(1), percent=80)
     assert {r.doc_id: r.component_id for r in got.collect()} == {d: d - d % 2 for d, _ in rows}
     assert spark.conf.get(BATCH_SETTING) == before
+
+
+def test_only_lines_asked_for_become_sets():
+    texts = ["b a b\nc\n\nd a", "", "a\nB b c d"]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    offsets = np.cumsum([0, *map(len, texts)])
+    hasher = WordHasher()
+    hashes = dict(zip("abcd", hasher(np.frombuffer(b"abcd", np.uint8), np.arange(4), np.arange(1, 5))))
+    ranks = line_duplicates._Ranks(np.array([hashes["c"], hashes["a"]], U64))
+    rank = dict(zip("abcd", ranks(np.array([hashes[w] for w in "abcd"]))))
+    want = {(0, 0): "ab", (0, 1): "c", (0, 3): "ad", (2, 0): "a", (2, 1): "bcd"}
+    for asked in (None, [], [(0, 3), (2, 1)], [(1, 0), (2, 0)], list(want)):
+        places = None if asked is None else np.array([t << 32 | k for t, k in asked], np.int64)
+        text, number, values, owner, sizes = line_duplicates._line_sets(
+            data, offsets, hasher, ranks, 1, places
+        )
+        found = list(zip(text.tolist(), number.tolist()))
+        assert found == [p for p in want if asked is None or p in asked]
+        assert sizes.tolist() == [len(want[p]) for p in found]
+        assert owner.tolist() == [k for k, p in enumerate(found) for _ in want[p]]
+        assert values.tolist() == [v for p in found for v in sorted(int(rank[w]) for w in want[p])]

@@ -27,7 +27,6 @@ from wordloom.llm.bytewise import (
     lowered,
     mix,
     runs,
-    sorted_sets,
     sums_by,
     word_limits,
 )
@@ -116,18 +115,32 @@ class _Ranks:
         return out
 
 
-def _line_sets(part, offsets, hasher, ranks, least_words):
-    """Lines that take part: text and line numbers, sorted distinct words, their owners, sizes."""
+def _line_sets(part, offsets, hasher, ranks, least_words, asked=None):
+    """Lines that take part: text and line numbers, sorted distinct words, their owners, sizes.
+
+    `asked`, if given, has the lines wanted as text << 32 | number.
+    """
     limits, text, number = _line_offsets(part, offsets)
     part = lowered(part)
     starts, ends, owner = word_limits(part, limits)
     words = np.bincount(owner, minlength=len(text))
     keep = words >= least_words
+    if asked is not None:
+        keep &= np.isin(text << 32 | number, asked)
     mine = keep[owner]
     place = np.cumsum(keep) - 1
     hashes = hasher(part, starts[mine], ends[mine]) if mine.any() else np.zeros(0, U64)
-    values, owner, sizes = sorted_sets(place[owner[mine]], ranks(hashes), int(keep.sum()))
-    return text[keep], number[keep], values, owner, sizes
+    # Each different word is looked up once; lines and places of words sort as one number.
+    different, which = np.unique(hashes, return_inverse=True)
+    order, at = np.unique(ranks(different), return_inverse=True)
+    width = len(order).bit_length()
+    both = np.sort(place[owner[mine]] << width | at[which])
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    both = both[new]
+    owner = both >> width
+    sizes = np.bincount(owner, minlength=int(keep.sum()))
+    return text[keep], number[keep], order[both & ((1 << width) - 1)], owner, sizes
 
 
 def _prefix_sizes(sizes: np.ndarray, percent: int) -> np.ndarray:
@@ -199,15 +212,15 @@ def _words_of(head: np.ndarray, least_words: int):
             ends = ends - ends[0]
             for i, j in runs(offsets):
                 part = data[offsets[i] : offsets[j]]
-                text, number, values, owner, sizes = _line_sets(
-                    part, offsets[i : j + 1] - offsets[i], hasher, ranks, least_words
-                )
                 own = np.repeat(np.arange(j - i), np.diff(ends[i : j + 1])) << 32
-                wanted = np.isin(text << 32 | number, own | lines[ends[i] : ends[j]])
+                _, _, values, owner, sizes = _line_sets(
+                    part, offsets[i : j + 1] - offsets[i], hasher, ranks, least_words,
+                    own | lines[ends[i] : ends[j]],
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(_set_ids(values, owner, sizes)[wanted]),
-                        lists(values[wanted[owner]].view(np.int64), sizes[wanted]),
+                        pa.array(_set_ids(values, owner, sizes)),
+                        lists(values.view(np.int64), sizes),
                     ],
                     ["sid", "words"],
                 )
